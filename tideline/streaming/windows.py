@@ -101,10 +101,10 @@ def _retain(counts: DataFrame, last: Column, window: str, slide: str) -> DataFra
     A word's counted windows are followed by zeros up to the next counted one.
     """
     following = F.lead("window_start").over(W.partitionBy("word").orderBy("window_start"))
-    until = F.coalesce(following - _step(slide), last)
-    spread = counts.select(
+    bounded = counts.withColumn("until", F.coalesce(following - _step(slide), last))
+    spread = bounded.select(
         "word", "cnt",
-        F.posexplode(F.sequence(F.col("window_start"), until, _step(slide))).alias("pos", "window_start"),
+        F.posexplode(F.sequence("window_start", "until", _step(slide))).alias("pos", "window_start"),
     )
     return spread.select(
         "window_start",
