@@ -93,7 +93,7 @@ def _profile(sims: str) -> str:
 
 
 def _user_top(where: str = "") -> str:
-    return f"""SELECT u AS user_id, item_id, round(score, 5) AS score, rnk AS rank FROM (
+    return f"""SELECT u AS user_id, item_id, round(score, 5) AS score, CAST(rnk AS INTEGER) AS rank FROM (
       SELECT *, row_number() OVER (PARTITION BY u ORDER BY round(score, 9) DESC, item_id) AS rnk
       FROM est {where}) WHERE rnk <= 3"""
 
@@ -246,15 +246,15 @@ ORACLES: dict[str, str] = {
     "c03_threshold": f"""WITH {RATINGS}, {PEARSON} SELECT u AS user_id, v AS other_user_id, round(sim, 6) AS sim, n
       FROM sims WHERE sim >= 0.1""",
     "c04_nearest_n": f"""WITH {RATINGS}, {EUCLIDEAN}, {NEAREST} SELECT u AS user_id, v AS other_user_id,
-      round(sim, 6) AS sim, n, rnk AS rank FROM near""",
+      round(sim, 6) AS sim, n, CAST(rnk AS INTEGER) AS rank FROM near""",
     "c05_estimate": f"""WITH {RATINGS}, {EUCLIDEAN}, {NEAREST}, {ESTIMATES}
       SELECT u AS user_id, item_id, round(score, 5) AS score, cnt AS n FROM est""",
     "c06_user_recs": f"WITH {RATINGS}, {EUCLIDEAN}, {NEAREST}, {ESTIMATES} {_user_top()}",
     "c06_one_user": f"""WITH {RATINGS}, {PEARSON}, near AS (SELECT * FROM sims WHERE u = 2 AND sim >= 0.1),
       {ESTIMATES} {_user_top()}""",
     "c07_item_similarity": f"""WITH {RATINGS}, {ITEM_SIMS} SELECT i AS item_id, j AS other_item_id,
-      round(sim, 6) AS sim, n, rnk AS rank FROM isims""",
+      round(sim, 6) AS sim, n, CAST(rnk AS INTEGER) AS rank FROM isims""",
     "c08_item_recs": f"""WITH {RATINGS}, {ITEM_SIMS}, {ITEM_RECS} SELECT user_id, item_id, round(score, 5) AS score,
-      rnk AS rank FROM recs""",
+      CAST(rnk AS INTEGER) AS rank FROM recs""",
     "c09_users": "SELECT DISTINCT user_id FROM events",
 }
