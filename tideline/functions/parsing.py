@@ -13,13 +13,19 @@ from pyspark.sql.types import StructField, StructType
 
 INT_PATTERN = r"^[+-]?[0-9]+$"
 # Every character up to and including the space counts as blank, tabs included.
-BLANK_EDGES = r"^[\x00-\x20]+|[\x00-\x20]+$"
+UNTIL_LAST_INK = r"(?s)^[\x00-\x20]*(.*[^\x00-\x20])"
+NOT_BLANK_NOR_COMMENT = r"^[\x00-\x20]*[^\x00-\x20#]"
+SPACE = 32
 SPARSE_KIND = 0  # tag of a sparse value in the vector type's own storage
+DENSE_WIDTH = 16  # up to here a dense vector is cheaper to build than a sparse one
 
 
 def _fields(line: Column, separator: str) -> Column:
     """Split on a separator; empty fields at the end do not count."""
-    return F.split(F.regexp_replace(line, f"{separator}+$", ""), separator)
+    body = F.when(
+        line.endswith(separator), F.regexp_replace(line, f"{separator}+$", "")
+    ).otherwise(line)
+    return F.split(body, separator)
 
 
 def _numbers(tokens: Column) -> Column:
@@ -30,55 +36,88 @@ def _rest(tokens: Column) -> Column:
     return F.slice(tokens, F.lit(2), F.greatest(F.size(tokens) - 1, F.lit(0)))
 
 
-def _keep(df: DataFrame, line: str) -> list[str]:
+def _kept(df: DataFrame, line: str) -> list[str]:
     return [c for c in df.columns if c != line]
 
 
+def _staged(df: DataFrame, line: str, value: Column) -> tuple[DataFrame, list[str]]:
+    """``df`` with ``value`` as column ``_parts`` in place of the line, and the kept names.
+
+    What is used several times is given a column of its own, so that it is
+    computed once per row.
+    """
+    kept = _kept(df, line)
+    return df.select(*kept, value.alias("_parts")), kept
+
+
 def parse_label_csv(df: DataFrame, line: str = "value") -> DataFrame:
     """``label,f0,f1,...`` to (label, features); other columns pass through."""
-    numbers = _numbers(_fields(F.col(line), ","))
-    return df.select(
-        *_keep(df, line),
-        F.element_at(numbers, 1).alias("label"),
-        array_to_vector(_rest(numbers)).alias("features"),
+    staged, kept = _staged(df, line, _numbers(_fields(F.col(line), ",")))
+    return staged.select(
+        *kept,
+        F.element_at("_parts", 1).alias("label"),
+        array_to_vector(_rest(F.col("_parts"))).alias("features"),
     )
 
 
 def parse_label_space(df: DataFrame, line: str = "value") -> DataFrame:
     """``label,f0 f1 f2`` to (label, features)."""
-    parts = _fields(F.col(line), ",")
-    return df.select(
-        *_keep(df, line),
-        F.element_at(parts, 1).cast("double").alias("label"),
-        array_to_vector(_numbers(_fields(F.element_at(parts, 2), " "))).alias("features"),
+    staged, kept = _staged(df, line, _fields(F.col(line), ","))
+    return staged.select(
+        *kept,
+        F.element_at("_parts", 1).cast("double").alias("label"),
+        array_to_vector(_numbers(_fields(F.element_at("_parts", 2), " "))).alias("features"),
     )
 
 
 def parse_keyed_csv(df: DataFrame, line: str = "value") -> DataFrame:
     """``id,f0,f1,...`` to (id, features); the id stays text."""
-    tokens = _fields(F.col(line), ",")
-    return df.select(
-        *_keep(df, line),
-        F.element_at(tokens, 1).alias("id"),
-        array_to_vector(_numbers(_rest(tokens))).alias("features"),
+    staged, kept = _staged(df, line, _fields(F.col(line), ","))
+    return staged.select(
+        *kept,
+        F.element_at("_parts", 1).alias("id"),
+        array_to_vector(_numbers(_rest(F.col("_parts")))).alias("features"),
     )
 
 
+def trimmed(line: Column) -> Column:
+    """The line without blank characters at its ends.
+
+    Spaces go the fast way; the pattern runs only where another blank is left.
+    """
+    body = F.trim(line)
+    other = (F.ascii(body) < SPACE) | (F.ascii(F.right(body, F.lit(1))) < SPACE)
+    return F.when(other, F.regexp_extract(line, UNTIL_LAST_INK, 1)).otherwise(body)
+
+
 def clean_lines(df: DataFrame, line: str = "value") -> DataFrame:
-    """Trim, then drop blank lines and ``#`` comments."""
-    trimmed = df.withColumn(line, F.regexp_replace(line, BLANK_EDGES, ""))
-    return trimmed.where((F.col(line) != "") & ~F.col(line).startswith("#"))
+    """Trim, and drop blank lines and ``#`` comments.
+
+    The filter looks at the raw line, so the trimming is not done twice.
+    """
+    return df.where(F.col(line).rlike(NOT_BLANK_NOR_COMMENT)).withColumn(
+        line, trimmed(F.col(line))
+    )
 
 
 def parse_libsvm(df: DataFrame, line: str = "value") -> DataFrame:
     """``label i:v i:v`` to (label, indices from 0, values); spare spaces are ignored."""
-    tokens = F.filter(F.split(F.col(line), " "), lambda t: t != "")
-    pairs = F.transform(_rest(tokens), lambda t: F.split(t, ":"))
-    return df.select(
-        *_keep(df, line),
-        F.element_at(tokens, 1).cast("double").alias("label"),
-        F.transform(pairs, lambda p: F.element_at(p, 1).cast("int") - 1).alias("indices"),
-        F.transform(pairs, lambda p: F.element_at(p, 2).cast("double")).alias("values"),
+    tokens, kept = _staged(df, line, F.filter(F.split(F.col(line), " "), lambda t: t != ""))
+    items = tokens.select(
+        *kept, F.element_at("_parts", 1).cast("double").alias("label"),
+        _rest(F.col("_parts")).alias("_items"),
+    )
+    def index_text(item: Column) -> Column:
+        return F.substring_index(item, ":", 1)
+
+    def value_text(item: Column) -> Column:
+        # An item without a colon leaves an empty text, which no cast accepts.
+        return F.substr(item, F.length(index_text(item)) + 2)
+
+    return items.select(
+        *kept, "label",
+        F.transform("_items", lambda t: index_text(t).cast("int") - 1).alias("indices"),
+        F.transform("_items", lambda t: value_text(t).cast("double")).alias("values"),
     )
 
 
@@ -89,11 +128,15 @@ def infer_width(df: DataFrame) -> DataFrame:
 
 
 def to_vector(df: DataFrame, width: int) -> DataFrame:
-    """Replace (indices, values) by a sparse ``features`` vector of ``width`` slots.
+    """Replace (indices, values) by a ``features`` vector of ``width`` slots.
 
-    The vector type is stored as a struct; reading that struct through
-    ``from_json`` keeps the assembly on the JVM and never widens the row.
+    Narrow vectors are filled slot by slot. Wide ones are sparse: the vector type
+    is stored as a struct, and reading that struct through ``from_json`` keeps
+    the assembly on the JVM without widening the row.
     """
+    kept = [c for c in df.columns if c not in ("indices", "values")]
+    if width <= DENSE_WIDTH:
+        return df.select(*kept, array_to_vector(_filled_slots(width)).alias("features"))
     stored = F.struct(
         F.struct(
             F.lit(SPARSE_KIND).cast("tinyint").alias("type"),
@@ -103,10 +146,22 @@ def to_vector(df: DataFrame, width: int) -> DataFrame:
         ).alias("v")
     )
     schema = StructType([StructField("v", VectorUDT())])
-    kept = [c for c in df.columns if c not in ("indices", "values")]
     return df.select(*kept, F.from_json(F.to_json(stored), schema)["v"].alias("features"))
 
 
+def _filled_slots(width: int) -> Column:
+    """Values by slot; an index beyond the width is an error, as in a sparse vector."""
+    def slot(i: Column) -> Column:
+        place = F.nullif(F.array_position("indices", i).cast("int"), F.lit(0))
+        return F.coalesce(F.try_element_at("values", place), F.lit(0.0))
+
+    slots = F.transform(F.sequence(F.lit(0), F.lit(width - 1)), slot)
+    fits = F.coalesce(F.try_element_at("indices", F.lit(-1)), F.lit(0)) < width
+    return F.when(fits, slots).otherwise(
+        F.raise_error(F.lit(f"feature index beyond width {width}")).cast("array<double>")
+    )
+
+
 def parse_int(df: DataFrame, line: str = "value", strict: bool = True) -> DataFrame:
     """Message to ``number INT``; a bad message fails the job, or is dropped when lenient."""
     text = F.col(line)
@@ -115,8 +170,8 @@ def parse_int(df: DataFrame, line: str = "value", strict: bool = True) -> DataFr
         number = F.when(well_formed, text.cast("int")).otherwise(
             F.raise_error(F.concat(F.lit("not an integer: "), F.coalesce(text, F.lit("null"))))
         )
-        return df.select(*_keep(df, line), number.cast("int").alias("number"))
-    lenient = df.select(*_keep(df, line), F.when(well_formed, text.try_cast("int")).alias("number"))
+        return df.select(*_kept(df, line), number.cast("int").alias("number"))
+    lenient = df.select(*_kept(df, line), F.when(well_formed, text.try_cast("int")).alias("number"))
     return lenient.where(F.col("number").isNotNull())
 
 
@@ -135,4 +190,4 @@ def tokens_of(line: Column) -> Column:
 
 def tokenize(df: DataFrame, line: str = "value") -> DataFrame:
     """One row per token, in column ``word``."""
-    return df.select(*_keep(df, line), F.explode(tokens_of(F.col(line))).alias("word"))
+    return df.select(*_kept(df, line), F.explode(tokens_of(F.col(line))).alias("word"))

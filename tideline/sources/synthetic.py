@@ -20,10 +20,15 @@ def gamma_rows(keys: DataFrame, key: str, cols: int, shape: float, scale: float,
 
     @F.pandas_udf("array<double>")
     def draw(ids: pd.Series) -> pd.Series:
-        return pd.Series([
-            np.random.Generator(np.random.Philox(key=[seed, int(i)])).gamma(shape, scale, cols)
-            for i in ids
-        ])
+        # One counter-based generator, moved to the row's own counter.
+        bits = np.random.Philox(key=seed)
+        generator, state = np.random.Generator(bits), bits.state
+        rows = []
+        for i in ids.to_numpy():
+            state["state"]["counter"][:] = (0, 0, 0, i)
+            bits.state = state
+            rows.append(generator.gamma(shape, scale, cols))
+        return pd.Series(rows)
 
     return keys.withColumn("features", array_to_vector(draw(F.col(key).cast("bigint"))))
 
