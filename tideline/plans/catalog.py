@@ -19,7 +19,7 @@ from tideline.plans import tables as T
 from tideline.session import shared_dir
 from tideline.sinks import text as sinks
 from tideline.sources import files, streams, synthetic
-from tideline.streaming import runtime, scoring, windows
+from tideline.streaming import retained, runtime, scoring, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -266,6 +266,13 @@ def w02s_words_stream(spark, sf_dir):
     return _clock(runtime.drain_updates(counts, ["window_start", "window_end", "word"], "w02s"))
 
 
+@query
+def w02z_retained_stream(spark, sf_dir):
+    words = _words(T.event_stream(spark, sf_dir))
+    counts = retained.sliding_word_count_retained(words, "12 hours", HOUR)
+    return _clock(runtime.drain_appends(counts, "w02z"))
+
+
 # --- models -----------------------------------------------------------------------
 
 def _lineitem(spark, sf_dir):

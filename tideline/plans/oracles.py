@@ -156,6 +156,10 @@ def _gridded(bucket: str, aggregates: str, final: str) -> str:
         FROM g LEFT JOIN c ON c.ws = g.ws) g"""
 
 
+SPANS = """spans AS (SELECT word, unnest(generate_series(min(ws), (SELECT max(ws) FROM counts), INTERVAL '1 hour')) AS ws
+  FROM counts GROUP BY word)"""
+
+
 def _sliding(length: str, slide: str, copies: int) -> str:
     return f"""counts AS (SELECT time_bucket(INTERVAL '{slide}', ts) - k * INTERVAL '{slide}' AS ws, word,
       count(*) AS cnt FROM ({EVENT_WORDS}), range({copies}) t(k) GROUP BY ALL)"""
@@ -207,10 +211,13 @@ ORACLES: dict[str, str] = {
     "w02_sliding_words": f"""WITH {_sliding('2 minutes', '10 seconds', 12)}
       SELECT {_window('ws', '2 minutes')}, word, cnt FROM counts""",
     "w02_zero_retained": f"""WITH {_sliding('12 hours', '1 hour', 12)},
-      spans AS (SELECT word, unnest(generate_series(min(ws), (SELECT max(ws) FROM counts), INTERVAL '1 hour')) AS ws
-        FROM counts GROUP BY word)
-      SELECT {_window('s.ws', '12 hours')}, s.word, coalesce(c.cnt, 0) AS cnt
+      {SPANS} SELECT {_window('s.ws', '12 hours')}, s.word, coalesce(c.cnt, 0) AS cnt
       FROM spans s LEFT JOIN counts c ON c.word = s.word AND c.ws = s.ws""",
+    # A window is out once the watermark, ten minutes behind the last event, has passed it.
+    "w02z_retained_stream": f"""WITH {_sliding('12 hours', '1 hour', 12)}, {SPANS}
+      SELECT {_window('s.ws', '12 hours')}, s.word, coalesce(c.cnt, 0) AS cnt
+      FROM spans s LEFT JOIN counts c ON c.word = s.word AND c.ws = s.ws
+      WHERE s.ws + INTERVAL '12 hours' <= (SELECT max(ts) FROM events) - INTERVAL '10 minutes'""",
     "w02s_words_stream": f"""WITH {_sliding('12 hours', '1 hour', 12)}
       SELECT {_window('ws', '12 hours')}, word, cnt FROM counts""",
     "m01_nb_model": f"""WITH {_nb()} SELECT label, CAST(f AS INTEGER) AS feature, round(pi, 6) AS log_prior,
