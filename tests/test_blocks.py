@@ -1,0 +1,185 @@
+"""The blocked sums against plain loops over all pairs."""
+
+import itertools
+import math
+from dataclasses import replace
+
+import numpy as np
+import pytest
+from hypothesis import given, settings, strategies as st
+
+from tideline.functions.measures import BOOLEAN, EUCLIDEAN, PEARSON
+from tideline.operators import blocks, similarity as S
+from tideline.operators.recommend import recommend_items, recommend_users
+
+
+def pearson(x, y):
+    if len(x) < 2 or min(x) == max(x) or min(y) == max(y):
+        return None
+    return float(np.corrcoef(x, y)[0, 1])
+
+
+def euclidean(x, y):
+    return 1 / (1 + math.sqrt(sum((a - b) ** 2 for a, b in zip(x, y)) / len(x))) if x else None
+
+
+def brute(ratings, metric):
+    """{(u, v): (sim, n)} in both directions."""
+    prefs = {}
+    for user, item, pref in ratings:
+        prefs.setdefault(user, {})[item] = pref
+    found = {}
+    for u, v in itertools.permutations(prefs, 2):
+        shared = sorted(prefs[u].keys() & prefs[v].keys())
+        sim = metric([prefs[u][i] for i in shared], [prefs[v][i] for i in shared])
+        if sim is not None:
+            found[u, v] = (sim, len(shared))
+    return found
+
+
+def skewed(seed, users=60, items=40):
+    """One item rated by all, one user rating all, the rest sparse; some constant raters."""
+    rng = np.random.default_rng(seed)
+    rows = {}
+    for user in range(users):
+        chosen = range(items) if user == 0 else [0, *rng.choice(items, rng.integers(1, 8))]
+        for item in chosen:
+            rows[user, int(item)] = 3.0 if user % 7 == 3 else float(rng.integers(0, 11)) / 2
+    return [(u, i, p) for (u, i), p in rows.items()]
+
+
+PLANS = {
+    "one_block": blocks.BlockPlan(1, 1, 1, 1),
+    "many_blocks": blocks.BlockPlan(5, 4, 1, 3, shift=2.5),
+    "dealt_axis": blocks.BlockPlan(2, 4, 3, 5, shift=2.5),
+}
+
+
+@pytest.fixture(params=PLANS, ids=list(PLANS))
+def plan(request, monkeypatch):
+    def fixed(entries, centre):
+        chosen = PLANS[request.param]
+        return chosen if centre else replace(chosen, shift=0.0)
+
+    monkeypatch.setattr(S, "measure_entries", fixed)
+    return request.param
+
+
+@pytest.mark.parametrize("metric,reference", [("pearson", pearson), ("euclidean", euclidean)])
+def test_all_pairs(spark, plan, metric, reference):
+    ratings = skewed(1)
+    expected = brute(ratings, reference)
+    df = spark.createDataFrame(ratings, "user_id BIGINT, item_id BIGINT, pref DOUBLE")
+    got = {(r.user_id, r.other_user_id): (r.sim, r.n) for r in S.user_similarity(df, metric).collect()}
+    assert got.keys() == expected.keys()
+    for pair, (sim, n) in expected.items():
+        assert got[pair][1] == n and math.isclose(got[pair][0], sim, abs_tol=1e-9)
+
+
+def test_nearest_profile_and_threshold(spark, plan):
+    ratings = skewed(2)
+    expected = brute(ratings, euclidean)
+    df = spark.createDataFrame(ratings, "user_id BIGINT, item_id BIGINT, pref DOUBLE")
+    near = {}
+    for r in S.neighbours(df, "euclidean", n=3).orderBy("user_id", "rank").collect():
+        near.setdefault(r.user_id, []).append(r.other_user_id)
+    by_user = {}
+    for (u, v), (sim, _) in expected.items():
+        by_user.setdefault(u, []).append((-round(sim, 9), v))
+    assert near == {u: [v for _, v in sorted(others)[:3]] for u, others in by_user.items()}
+    above = {(r.user_id, r.other_user_id)
+             for r in S.neighbours(df, "euclidean", min_sim=0.4).collect()}
+    assert above == {pair for pair, (sim, _) in expected.items() if sim >= 0.4}
+    for r in S.user_similarity_profile(df, "euclidean").collect():
+        sims = [-s for s, _ in by_user[r.user_id]]
+        assert r.n_similar == len(sims)
+        assert math.isclose(r.mean_sim, sum(sims) / len(sims), abs_tol=1e-8)
+        assert math.isclose(r.max_sim, max(sims), abs_tol=1e-8)
+
+
+def test_items(spark, plan):
+    ratings = skewed(3)
+    fans = {}
+    for user, item, _ in ratings:
+        fans.setdefault(item, set()).add(user)
+    expected = {}
+    for i, j in itertools.permutations(fans, 2):
+        both = len(fans[i] & fans[j])
+        if both:
+            expected[i, j] = 1 / (1 + math.sqrt(len(fans[i]) + len(fans[j]) - 2 * both))
+    df = spark.createDataFrame(ratings, "user_id BIGINT, item_id BIGINT, pref DOUBLE")
+    got = {(r.item_id, r.other_item_id): r.sim for r in S.item_similarity(df).collect()}
+    assert got.keys() == expected.keys()
+    assert all(math.isclose(got[k], v, abs_tol=1e-12) for k, v in expected.items())
+
+
+@pytest.mark.parametrize("metric,reference", [("pearson", pearson), ("euclidean", euclidean)])
+def test_named_users_agree_with_everyone(spark, metric, reference):
+    ratings = skewed(4)
+    expected = {p: s for p, s in brute(ratings, reference).items() if p[0] in (0, 5)}
+    df = spark.createDataFrame(ratings, "user_id BIGINT, item_id BIGINT, pref DOUBLE")
+    got = {(r.user_id, r.other_user_id): r.sim for r in S.user_similarity(df, metric, users=[0, 5]).collect()}
+    assert got.keys() == expected.keys()
+    assert all(math.isclose(got[p], s, abs_tol=1e-9) for p, (s, _) in expected.items())
+
+
+# --- the kernel alone -------------------------------------------------------------
+
+VALUES = st.sampled_from([0.0, 0.1, 0.2, 0.3, 0.7, 2.5, 5.0, 1e4])
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.dictionaries(st.tuples(st.integers(0, 5), st.integers(0, 6)), VALUES, min_size=1, max_size=30),
+       st.integers(1, 3))
+def test_tile_matches_loops(entries, chunks):
+    """Undefined exactly where a side is constant, whatever the axis is cut into."""
+    tile = blocks.Tile(PEARSON, diagonal=True)
+    gaps = blocks.Tile(EUCLIDEAN, diagonal=True)
+    for chunk in range(chunks):
+        part = [(e, a, v) for (e, a), v in entries.items() if a % chunks == chunk]
+        if part:
+            e, a, v = map(np.array, zip(*part))
+            for t in (tile, gaps):
+                t.add((e, a, v), (e, a, v))
+    ratings = [(e, a, v) for (e, a), v in entries.items()]
+    sim, _ = blocks.similarities(tile, PEARSON)
+    ids = tile.rows.ids.tolist()
+    defined = {(ids[i], ids[j]) for i, j in zip(*np.nonzero(~np.isnan(sim)))}
+    assert defined == set(brute(ratings, pearson))
+    near, n = blocks.similarities(gaps, EUCLIDEAN)
+    ids = gaps.rows.ids.tolist()
+    for (u, v), (expected, count) in brute(ratings, euclidean).items():
+        i, j = ids.index(u), ids.index(v)
+        assert n[i, j] == count and math.isclose(near[i, j], expected, rel_tol=1e-6, abs_tol=1e-9)
+        assert math.isclose(near[i, j], near[j, i], rel_tol=1e-12) and 0 < near[i, j] <= 1
+
+
+def test_unresolvable_spread_is_undefined():
+    e, a = np.array([0, 0, 0, 4, 4, 4]), np.array([0, 1, 2, 0, 1, 2])
+    v = np.array([0.0, 0.0, 0.1, 0.30000000000000004, 0.30000000000000004, 0.3])
+    tile = blocks.Tile(PEARSON, diagonal=True)
+    tile.add((e, a, v), (e, a, v))
+    assert np.isnan(blocks.similarities(tile, PEARSON)[0]).all()
+
+
+def test_block_plan_bounds():
+    big = blocks.plan_blocks(10 ** 6, 10 ** 7, 10 ** 9, 4000)
+    assert 10 ** 6 / big.entity_blocks <= blocks.ENTITY_BLOCK
+    assert 10 ** 7 / big.axis_blocks <= blocks.AXIS_BLOCK and big.shards == 1
+    few = blocks.plan_blocks(120, 10 ** 9, 10 ** 11, 4000)
+    pairs = few.entity_blocks * (few.entity_blocks + 1) // 2
+    assert pairs * few.shards >= 2000  # a handful of items still occupies the cluster
+    assert blocks.plan_blocks(0, 0, 0, 8).entity_blocks == 1
+
+
+def test_empty_ratings(spark):
+    empty = spark.createDataFrame([], "user_id BIGINT, item_id BIGINT, pref FLOAT")
+    assert recommend_users(empty).count() == 0
+    assert recommend_items(empty).count() == 0
+    assert S.user_similarity_profile(empty).count() == 0
+
+
+def test_no_pair_rows_are_shuffled(spark, small_ratings):
+    """The similarity plan has no join of ratings with ratings."""
+    plan = S.neighbours(small_ratings, "euclidean", n=2)._jdf.queryExecution().toString()
+    assert "Join" not in plan and "Cartesian" not in plan

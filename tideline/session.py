@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+_local_base: dict[str, str] = {}  # application id -> folder of a local session
 
 
 def build_session(app: str = "tideline", master: str | None = None, **conf) -> SparkSession:
@@ -35,10 +36,13 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     """
     base = spark.conf.get(CHECKPOINT_KEY, None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        context = spark.sparkContext
+        if not context.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_KEY} to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="tideline-")
-        spark.conf.set(CHECKPOINT_KEY, base)
+        app = context.applicationId
+        if app not in _local_base:
+            _local_base[app] = tempfile.mkdtemp(prefix="tideline-")
+        base = _local_base[app]
     return f"{base.rstrip('/')}/tideline/{purpose}-{uuid.uuid4().hex}"
 
 
