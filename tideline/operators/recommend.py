@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from tideline.operators.prep import to_boolean
 from tideline.operators.similarity import (
-    RANK_DIGITS, SIMILAR_ITEMS, item_similarity, neighbours,
+    RANK_DIGITS, SIMILAR_ITEMS, neighbours, similar_of_seen,
 )
+from tideline.session import materialise
 
 MIN_NEIGHBOURS = 2  # an estimate resting on a single neighbour is not given
 
@@ -19,33 +20,44 @@ def users(ratings: DataFrame) -> DataFrame:
     return ratings.select("user_id").distinct()
 
 
-def estimate(ratings: DataFrame, neighbourhood: DataFrame) -> DataFrame:
+def _seen_marks(seen: DataFrame, *empty: str) -> DataFrame:
+    """(user_id, item_id, NULLs, TRUE): rows that mark what a user already has."""
+    blanks = [F.lit(None).cast("double").alias(name) for name in empty]
+    return seen.select("user_id", "item_id", *blanks, F.lit(True).alias("seen"))
+
+
+def estimate(ratings: DataFrame, neighbourhood: DataFrame,
+             users: Sequence[int] | None = None) -> DataFrame:
     """(user_id, item_id, score, n): similarity-weighted mean of the neighbours' preferences.
 
     Items the user has rated are left out, and scores stay within the least and
-    greatest preference of all ratings.
+    greatest preference of all ratings. ``users`` are those of the neighbourhood,
+    when they are few. Rated items join in as marks, so that candidates are
+    added up and sorted out in the same, pre-aggregated, shuffle.
     """
-    theirs = ratings.select(
-        F.col("user_id").alias("other_user_id"), "item_id", F.col("pref").cast("double").alias("pref")
-    )
+    pref = F.col("pref").cast("double")
+    theirs = ratings.select(F.col("user_id").alias("other_user_id"), "item_id", pref.alias("pref"))
+    rated = ratings if users is None else ratings.where(F.col("user_id").isin(list(users)))
     candidates = (
         neighbourhood.select("user_id", "other_user_id", "sim")
         .join(theirs, "other_user_id")
+        .select("user_id", "item_id", (F.col("sim") * F.col("pref")).alias("part"), "sim",
+                F.lit(False).alias("seen"))
+    )
+    sums = (
+        candidates.union(_seen_marks(rated, "part", "sim"))
         .groupBy("user_id", "item_id")
         .agg(
-            F.sum(F.col("sim") * F.col("pref")).alias("weighted"),
-            F.sum("sim").alias("weight"),
-            F.count(F.lit(1)).alias("n"),
+            F.sum("part").alias("weighted"), F.sum("sim").alias("weight"),
+            F.count("sim").alias("n"), F.bool_or("seen").alias("seen"),
         )
-        .where((F.col("n") >= MIN_NEIGHBOURS) & (F.col("weight") != 0))
+        .where(~F.col("seen") & (F.col("n") >= MIN_NEIGHBOURS) & (F.col("weight") != 0))
     )
-    unseen = candidates.join(ratings.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti")
     bounds = ratings.agg(
-        F.struct(F.min("pref").cast("double").alias("low"), F.max("pref").cast("double").alias("high"))
-        .alias("b")
+        F.struct(F.min(pref).alias("low"), F.max(pref).alias("high")).alias("b")
     ).scalar()
     raw = F.col("weighted") / F.col("weight")
-    return unseen.select(
+    return sums.select(
         "user_id", "item_id",
         F.least(F.greatest(raw, bounds["low"]), bounds["high"]).alias("score"), "n",
     )
@@ -67,20 +79,27 @@ def recommend_users(ratings: DataFrame, k: int = 3, metric: str = "euclidean", n
     similarity is at least ``min_sim``.
     """
     near = neighbours(ratings, metric, n=n, min_sim=min_sim, users=users)
-    return top_items(estimate(ratings, near), k)
+    return top_items(estimate(ratings, near, users), k)
 
 
-def item_scores(ratings: DataFrame, similar: DataFrame) -> DataFrame:
-    """(user_id, item_id, score): summed similarity of an unseen item to the user's items."""
-    seen = to_boolean(ratings).select("user_id", "item_id")
-    scored = (
-        seen.join(similar.select("item_id", "other_item_id", "sim"), "item_id")
-        .groupBy("user_id", F.col("other_item_id").alias("item_id"))
-        .agg(F.sum("sim").alias("score"))
+def item_scores(seen: DataFrame, similar: DataFrame) -> DataFrame:
+    """(user_id, item_id, score): summed similarity of an unseen item to the user's items.
+
+    ``seen`` holds each user and item together once.
+    """
+    parts = seen.join(similar.select("item_id", "other_item_id", "sim"), "item_id").select(
+        "user_id", F.col("other_item_id").alias("item_id"), "sim", F.lit(False).alias("seen")
+    )
+    return (
+        parts.union(_seen_marks(seen, "sim"))
+        .groupBy("user_id", "item_id")
+        .agg(F.sum("sim").alias("score"), F.bool_or("seen").alias("seen"))
+        .where(~F.col("seen"))
+        .drop("seen")
     )
-    return scored.join(seen, ["user_id", "item_id"], "left_anti")
 
 
 def recommend_items(ratings: DataFrame, k: int = 10, similar_items: int = SIMILAR_ITEMS) -> DataFrame:
     """Item-based top-k for every user of boolean preferences."""
-    return top_items(item_scores(ratings, item_similarity(ratings, similar_items)), k)
+    seen = materialise(to_boolean(ratings).select("user_id", "item_id"), "seen")
+    return top_items(item_scores(seen, similar_of_seen(seen, similar_items)), k)
