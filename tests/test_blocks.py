@@ -130,9 +130,18 @@ VALUES = st.sampled_from([0.0, 0.1, 0.2, 0.3, 0.7, 2.5, 5.0, 1e4])
 
 @settings(max_examples=150, deadline=None)
 @given(st.dictionaries(st.tuples(st.integers(0, 5), st.integers(0, 6)), VALUES, min_size=1, max_size=30),
-       st.integers(1, 3))
-def test_tile_matches_loops(entries, chunks):
-    """Undefined exactly where a side is constant, whatever the axis is cut into."""
+       st.integers(1, 3), st.sampled_from([0, 10 ** 9]))
+def test_tile_matches_loops(entries, chunks, listing):
+    """Undefined exactly where a side is constant, whatever the axis is cut into.
+
+    Both ways of summing are taken: listing co-occurrences, and matrix products.
+    """
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(blocks, "LISTING_COST", listing)
+        check_tile(entries, chunks)
+
+
+def check_tile(entries, chunks):
     tile = blocks.Tile(PEARSON, diagonal=True)
     gaps = blocks.Tile(EUCLIDEAN, diagonal=True)
     for chunk in range(chunks):

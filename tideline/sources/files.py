@@ -21,5 +21,5 @@ def read_libsvm(spark: SparkSession, path: str, num_features: int | None = None)
 
 
 def read_ratings(spark: SparkSession, path: str) -> DataFrame:
-    """``user,item,pref`` lines without header; blank lines are skipped."""
-    return spark.read.schema(RATING_SCHEMA).option("mode", "FAILFAST").csv(path)
+    """``user,item,pref`` lines without header; blank lines and empty preferences are skipped."""
+    return spark.read.schema(RATING_SCHEMA).option("mode", "FAILFAST").csv(path).dropna()
