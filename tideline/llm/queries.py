@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tideline.llm import bpe, langid
+from tideline.llm import bpe, chat, langid, packing, quality, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -23,6 +23,22 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+SHARDS = 40
+BIN_BYTES = 8192
+
+
+@query
+def op3_sharding(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", "doc_id", "source", "text")
+    return sharding.interleave(docs, SHARDS).withColumns({
+        "law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")})
+
+
+@query
+def op4_chat_rotation(spark, sf_dir):
+    return chat.rotate(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
 @query
 def op5_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
@@ -32,6 +48,14 @@ def op5_language_id(spark, sf_dir):
                          "bits_per_byte")
 
 
+@query
+def op6_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels", "doc_id", "quality"))
+    scored = quality.classify(docs, model)
+    return scored.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 @query
 def op8_bpe(spark, sf_dir):
     vocabulary = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN
@@ -40,3 +64,35 @@ def op8_bpe(spark, sf_dir):
     digits = F.concat_ws(",", F.col("ids").cast("array<string>"))
     return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                           F.sha2(digits, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op10_packing(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", "doc_id", "source", "text")
+    # Copies of a text are a cluster; texts are told apart by a hash.
+    return packing.pack(docs, BIN_BYTES, F.octet_length("text"), F.xxhash64("text"))
+
+
+# The dialogue table in SQL: running sums over each dialogue, as the operator defines them.
+ORACLES["op4_chat_rotation"] = """
+WITH lines AS (
+  SELECT conv_id, turn, coalesce(role, 'unknown') AS speaker, coalesce(text, '') AS words FROM conversations),
+speakers AS (SELECT DISTINCT conv_id, speaker AS perspective FROM lines WHERE speaker <> 'system'),
+heads AS (
+  SELECT l.conv_id, perspective, turn, speaker, words,
+    CASE WHEN speaker = perspective THEN 'assistant' WHEN speaker = 'system' THEN 'system' ELSE 'user' END AS role
+  FROM lines l JOIN speakers s ON l.conv_id IS NOT DISTINCT FROM s.conv_id),
+headed AS (
+  SELECT *, CASE WHEN role = 'user' THEN '<|user|>' || speaker ELSE '<|' || role || '|>' END || chr(10) AS head
+  FROM heads),
+segments AS (SELECT *, head || words || chr(10) || '<|end|>' || chr(10) AS segment FROM headed),
+placed AS (
+  SELECT *, row_number() OVER w - 1 AS position,
+    coalesce(sum(length(segment)) OVER (PARTITION BY conv_id, perspective
+      ORDER BY turn NULLS FIRST, speaker, segment ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS b
+  FROM segments WINDOW w AS (PARTITION BY conv_id, perspective ORDER BY turn NULLS FIRST, speaker, segment))
+SELECT conv_id, perspective, position, turn, speaker, role, segment, b AS "begin", b + length(segment) AS "end",
+  CASE WHEN role = 'assistant' THEN b + length(head) ELSE b + length(segment) END AS target_begin,
+  CASE WHEN role = 'assistant' THEN b + length(head) + length(words) ELSE b + length(segment) END AS target_end
+FROM placed
+"""
