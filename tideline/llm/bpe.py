@@ -16,7 +16,7 @@ from __future__ import annotations
 import heapq
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from tideline.llm.flat import spread, worker_cache
 
 SHORT = 48
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 700_000
 NONE = np.int32(2**31 - 1)
 
 
@@ -50,7 +50,6 @@ class Vocabulary:
         with open(path, encoding="utf-8") as file:
             model = json.load(file)
         ids, symbols = model["model"]["vocab"], byte_symbols()
-        of_symbol = {s: b for b, s in enumerate(symbols)}
         self.pattern = regex.compile(pattern)
         self.special = {t["content"]: t["id"] for t in model["added_tokens"]}
         self.splitter = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
@@ -66,13 +65,6 @@ class Vocabulary:
         self.merged_of_rank = np.array(merged, dtype=np.int32)
         self.ranks = np.array(ranks, dtype=np.int32)[order]
         self.rank_of = dict(zip(keys, ranks, strict=True))
-        tokens: list[bytes] = [b""] * (max([*ids.values(), *self.special.values()]) + 1)
-        for token, number in ids.items():
-            tokens[number] = bytes(of_symbol[c] for c in token)
-        for token, number in self.special.items():
-            tokens[number] = token.encode()
-        self.tokens = tokens
-
     def pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair of ids; NONE where they don't merge or a part is missing (-1)."""
         wanted = left.astype(np.int64) << 32 | right.astype(np.int64)
@@ -161,8 +153,19 @@ class Vocabulary:
         join = lambda parts, kind: np.concatenate([np.zeros(0, kind), *parts]).astype(kind)
         return join(order, np.int64), join(ids, np.int32), join(sizes, np.int64)
 
-    def decode(self, ids: list[int]) -> str:
-        return b"".join(map(self.tokens.__getitem__, ids)).decode("utf-8", "replace")
+
+def token_bytes(path: str) -> list[bytes]:
+    """The bytes of each token id of a vocabulary file."""
+    with open(path, encoding="utf-8") as file:
+        model = json.load(file)
+    ids, of_symbol = model["model"]["vocab"], {s: b for b, s in enumerate(byte_symbols())}
+    special = {t["content"]: t["id"] for t in model["added_tokens"]}
+    tokens = [b""] * (max([*ids.values(), *special.values()]) + 1)
+    for token, number in ids.items():
+        tokens[number] = bytes(of_symbol[c] for c in token)
+    for token, number in special.items():
+        tokens[number] = token.encode()
+    return tokens
 
 
 # Over these characters alone, the patterns of ``re`` and ``regex`` split alike.
@@ -238,11 +241,11 @@ class Encoder:
         return ids, np.diff(ends[np.cumsum([0, *map(len, each)])])
 
 
-def _encoder(path: str, pattern: str) -> Encoder:
+def _kept(key: tuple, make: Callable):
+    """What ``make`` gave when this worker first asked for ``key``."""
     kept = worker_cache()
-    key = ("bpe", path, pattern)
     if key not in kept:
-        kept[key] = Encoder(Vocabulary(path, pattern))
+        kept[key] = make()
     return kept[key]
 
 
@@ -267,7 +270,7 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str
     schema = T.StructType([f for f in _appended(df, ids, T.ArrayType(T.IntegerType())).fields if f.name != text])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(path, pattern)
+        encoder = _kept(("bpe", path, pattern), lambda: Encoder(Vocabulary(path, pattern)))
         for whole in batches:
             for low in range(0, whole.num_rows, TEXTS_AT_ONCE):
                 batch = whole.slice(low, TEXTS_AT_ONCE)
@@ -278,12 +281,12 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str
     return source.mapInArrow(run, schema)
 
 
-def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
+def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """``df`` with a column ``text`` decoded from its ids; broken UTF-8 becomes U+FFFD."""
     schema = _appended(df, text, T.StringType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = _encoder(path, pattern).vocabulary
+        tokens = _kept(("tokens", path), lambda: token_bytes(path))
         for whole in batches:
             for low in range(0, whole.num_rows, TEXTS_AT_ONCE):
                 batch = whole.slice(low, TEXTS_AT_ONCE)
@@ -291,7 +294,8 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", text: str =
                 counts = np.asarray(pc.fill_null(pc.list_value_length(column), 0))
                 flat = np.asarray(column.flatten()).tolist()
                 ends = np.cumsum([0, *counts]).tolist()
-                texts = [vocabulary.decode(flat[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+                texts = [b"".join(map(tokens.__getitem__, flat[a:b])).decode("utf-8", "replace")
+                         for a, b in zip(ends[:-1], ends[1:], strict=True)]
                 yield _with(batch, text, pa.array(texts, pa.string()), schema.names)
 
     return df.mapInArrow(run, schema)

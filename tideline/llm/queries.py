@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tideline.llm import bpe, chat, langid, packing, quality, sharding
+from tideline.llm import bpe, chat, langid, packing, quality, sharding, substring
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -27,6 +27,14 @@ SHARDS = 40
 BIN_BYTES = 8192
 
 
+@query
+def op1_substring_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return substring.remove_repeats(docs).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"),
+        F.size("factors").alias("n_factors"))
+
+
 @query
 def op3_sharding(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", "doc_id", "source", "text")
@@ -58,9 +66,9 @@ def op6_quality(spark, sf_dir):
 
 @query
 def op8_bpe(spark, sf_dir):
-    vocabulary = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN
+    path = public_tokenizers.path("byte_bpe_50k.json")
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
-    decoded = bpe.decode(bpe.encode(docs, *vocabulary), *vocabulary)
+    decoded = bpe.decode(bpe.encode(docs, path, public_tokenizers.PATTERN), path)
     digits = F.concat_ws(",", F.col("ids").cast("array<string>"))
     return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                           F.sha2(digits, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
