@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tideline.llm import bpe, chat, langid, packing, quality, sharding, substring
+from tideline.llm import bpe, chat, jaccard, langid, packing, quality, sharding, substring
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -74,6 +74,11 @@ def op8_bpe(spark, sf_dir):
                           F.sha2(digits, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@query
+def op9_jaccard_join(spark, sf_dir):
+    return jaccard.similar(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 @query
 def op10_packing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", "doc_id", "source", "text")
