@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tideline.llm import bpe, chat, jaccard, langid, packing, quality, sharding, substring
+from tideline.llm import bpe, chat, embedding_dedup, jaccard, langid, neighbours, packing, quality, sharding, substring
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -35,6 +35,11 @@ def op1_substring_dedup(spark, sf_dir):
         F.size("factors").alias("n_factors"))
 
 
+@query
+def op2_embedding_dedup(spark, sf_dir):
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
 @query
 def op3_sharding(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", "doc_id", "source", "text")
@@ -64,6 +69,11 @@ def op6_quality(spark, sf_dir):
     return scored.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+@query
+def op7_neighbours(spark, sf_dir):
+    return neighbours.search(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 100 == 0)
+
+
 @query
 def op8_bpe(spark, sf_dir):
     path = public_tokenizers.path("byte_bpe_50k.json")
