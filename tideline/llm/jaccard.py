@@ -305,7 +305,7 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = N
     entries = _index_entries(known, frequent_members(known, n), n, percent)
     shared = materialise(_shared(entries.repartition(blocks, "sig").sortWithinPartitions("sig", "key")), "shared")
     wanted = shared.groupBy("key").agg(F.min("leader").alias("leader"))
-    texts = materialise(pack_texts(known, "key", "text").join(wanted.select("key"), "key"), "texts")
+    texts = materialise(pack_texts(known).join(wanted.select("key"), "key"), "texts")
     sizes = described.groupBy("key").agg(F.max("size").alias("size"))
 
     def fitting(pairs: DataFrame) -> DataFrame:

@@ -9,16 +9,18 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F, types as T
 
 
-def pack_texts(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, packed): the texts, compressed one by one; a null stays null."""
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    schema = T.StructType([T.StructField("key", rows.schema["key"].dataType), T.StructField("packed", T.BinaryType())])
+def pack_texts(rows: DataFrame) -> DataFrame:
+    """``rows`` (key, text, any others) as (key, packed, others): texts compressed one by one; a null stays null."""
+    others = [f for f in rows.schema.fields if f.name not in ("key", "text")]
+    rows = rows.select("key", "text", *[F.col(f"`{f.name}`") for f in others])
+    schema = T.StructType([rows.schema["key"], T.StructField("packed", T.BinaryType()), *others])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=1).compress
         for batch in batches:
             packed = [None if t is None else press(t) for t in batch.column(1).cast(pa.large_binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], schema.names)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(packed, pa.binary()), *batch.columns[2:]], schema.names)
 
     return rows.mapInArrow(run, schema)
 

@@ -24,7 +24,7 @@ Rows that repeat a key are taken as one document, so they don't remove each othe
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -212,11 +212,13 @@ def _factors(start, length, ref_key, ref_start) -> tuple[np.ndarray, ...]:
     return start[first], end - start[first], ref_key[first], ref_start[first]
 
 
-def _removed(texts: DataFrame, window: int, key_type: T.DataType) -> DataFrame:
+def _removed(texts: DataFrame, window: int) -> DataFrame:
+    carried = [f for f in texts.schema.fields if f.name not in ("key", "packed", "spans")]
+    texts = texts.select("key", "packed", "spans", *[f.name for f in carried])
     schema = T.StructType([
-        T.StructField("key", key_type), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
+        T.StructField("key", T.LongType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
         T.StructField("kept", T.StringType()),
-        T.StructField("factors", T.ArrayType(T._parse_datatype_string(FACTOR)))])
+        T.StructField("factors", T.ArrayType(T._parse_datatype_string(FACTOR))), *carried])
     arrow = pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32()), ("ref_key", pa.int64()),
                                 ("ref_start", pa.int32())]))
 
@@ -245,26 +247,33 @@ def _removed(texts: DataFrame, window: int, key_type: T.DataType) -> DataFrame:
                     factors.append(found)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0), pa.array(totals, pa.int64()), pa.array(gone, pa.int64()),
-                    pa.array(kept, pa.string()), pa.array(factors, arrow)], schema.names)
+                    pa.array(kept, pa.string()), pa.array(factors, arrow), *batch.columns[3:]], schema.names)
 
     return texts.mapInArrow(run, schema)
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW,
-                   anchor: int = ANCHOR) -> DataFrame:
-    """(key, n_words, n_removed, kept, factors) of every row; ``kept`` joins words by one space.
+                   anchor: int = ANCHOR, carry: Sequence[str] = ()) -> DataFrame:
+    """(key, n_words, n_removed, kept, factors, carried columns) of every row.
 
-    ``factors`` are the removed ranges: first word, length, and where they were copied from.
+    ``kept`` joins the words that stay by one space; ``factors`` are the removed ranges: first
+    word, length, and where they were copied from.
     """
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
+    whole = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"),
+                        *[F.col(name).alias(f"c{i}") for i, name in enumerate(carry)])
     blocks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    in_block = lambda e: e.repartition(blocks, "anchor").sortWithinPartitions("anchor", "digest", "key", "start")
-    found = materialise(_match(in_block(_index_entries(rows, window, anchor))), "matches")
-    packed = pack_texts(rows, "key", "text")
+
+    def in_blocks(entries: DataFrame) -> DataFrame:
+        return entries.repartition(blocks, "anchor").sortWithinPartitions("anchor", "digest", "key", "start")
+
+    found = materialise(_match(in_blocks(_index_entries(rows, window, anchor))), "matches")
     asked = found.where("ref_key is null").groupBy("key").agg(
         F.collect_list(F.struct("start", "windows", "anchor")).alias("asked"))
-    single = _match(in_block(_windows_asked(packed.join(asked, "key"), window)))
+    texts = pack_texts(rows.where("key is not null"))
+    single = _match(in_blocks(_windows_asked(texts.join(asked, "key"), window)))
     matches = found.union(single).where("ref_key is not null").groupBy("key").agg(
         F.collect_list(F.struct("start", "windows", "ref_key", "ref_start")).alias("spans"))
-    done = _removed(packed.join(matches, "key", "left"), window, rows.schema["key"].dataType)
-    return done.withColumnRenamed("key", key)
+    done = _removed(pack_texts(whole).join(matches, "key", "left"), window)
+    return done.select(F.col("key").alias(key), "n_words", "n_removed", "kept", "factors",
+                       *[F.col(f"c{i}").alias(name) for i, name in enumerate(carry)])
