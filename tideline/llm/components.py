@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from tideline.session import materialise
@@ -42,3 +43,16 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     roots = now.select(F.col("lo").alias("id"), F.col("lo").alias("component"))
     return now.select(F.col("hi").alias("id"), F.col("lo").alias("component")).union(
         roots.groupBy("id", "component").agg(F.count(F.lit(1))).select("id", "component"))
+
+
+def labels(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Component of each of n nodes: its smallest node."""
+    label = np.arange(n)
+    while True:
+        new = label.copy()
+        np.minimum.at(new, i, label[j])
+        np.minimum.at(new, j, label[i])
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new

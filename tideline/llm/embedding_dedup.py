@@ -26,7 +26,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tideline.llm.components import components
+from tideline.llm.components import components, labels
 from tideline.llm.flat import mix
 from tideline.llm.vectors import by_width, clean, matrix
 from tideline.session import materialise
@@ -118,19 +118,6 @@ def _compare(x: np.ndarray, y: np.ndarray, least: float) -> tuple[np.ndarray, np
     return np.nonzero(x @ y.T >= least)
 
 
-def _labels(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Component of each of n nodes: its smallest node."""
-    label = np.arange(n)
-    while True:
-        new = label.copy()
-        np.minimum.at(new, i, label[j])
-        np.minimum.at(new, j, label[i])
-        new = new[new]
-        if (new == label).all():
-            return label
-        label = new
-
-
 def _in_groups(entries: DataFrame, least: float) -> DataFrame:
     """(key, links, root) from rows grouped by (deal, low, high): blocks of whole buckets."""
     schema = "key long, links long, root long"
@@ -159,7 +146,7 @@ def _in_groups(entries: DataFrame, least: float) -> DataFrame:
                 n = end - begin
                 weight = rows[begin:end]
                 links = np.bincount(i, weight[j], n) + np.bincount(j, weight[i], n)
-                root = _labels(n, i, j)
+                root = labels(n, i, j)
                 some = np.flatnonzero(links)
                 out.append(pd.DataFrame({"key": k[some], "links": links[some].astype(np.int64), "root": k[root[some]]}))
         return pd.concat(out) if out else pd.DataFrame({"key": [], "links": [], "root": []}, dtype=np.int64)

@@ -39,10 +39,11 @@ CHUNK = 4096
 QUERY_CHUNK = 256
 
 
-def balanced_centroids(x: np.ndarray, lists: int) -> np.ndarray:
-    """Centroids of parts of equal size: each part is halved between two means until there are ``lists``."""
+def balanced_centroids(x: np.ndarray, lists: int, least: int = 64) -> np.ndarray:
+    """Centroids of parts of equal size: each part is halved between two means until there are ``lists``, or
+    halves would have fewer than ``least`` rows."""
     parts = [np.arange(len(x))]
-    while 2 * len(parts) <= lists and min(len(p) for p in parts) >= 4:
+    while 2 * len(parts) <= lists and min(len(p) for p in parts) >= 2 * least:
         halves = []
         for part in parts:
             y = x[part]
