@@ -105,3 +105,12 @@ def test_label_csv_round_trip(spark, numbers):
 def test_clean_filter_stays_on_the_raw_line(lines):
     plan = P.clean_lines(lines("a"))._jdf.queryExecution().optimizedPlan().toString()
     assert "regexp_extract" not in plan.split("Filter", 1)[-1] or "Filter" not in plan
+
+
+@pytest.mark.parametrize("width", [5, 40])
+@pytest.mark.parametrize("items", ["9:1 2:1", "0:5 2:1", "2:1 2:7", "3:1 2:1", "1:1 41:1"])
+def test_indices_must_increase_within_the_width(lines, width, items):
+    if width == 40 and items == "9:1 2:1":
+        items = "39:1 2:1"
+    with pytest.raises(Exception, match="must increase strictly"):
+        P.to_vector(P.parse_libsvm(lines(f"1 {items}")), width).collect()

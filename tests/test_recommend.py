@@ -111,3 +111,18 @@ def test_write_recs(spark, small_ratings, tmp_path):
 
 def test_users(small_ratings):
     assert sorted(r.user_id for r in users(small_ratings).collect()) == [1, 2, 3, 4, 5]
+
+
+@pytest.mark.parametrize("metric", ["pearson", "euclidean"])
+def test_repeated_ratings_count_once_in_every_plan(spark, small_ratings, metric):
+    again = spark.createDataFrame([(1, 101, 4.0), (1, 101, 3.0), (2, 102, 2.5)], small_ratings.schema)
+    ratings = small_ratings.union(again)
+    columns = ["user_id", "other_user_id", "n"]
+    everyone = user_similarity(ratings, metric)
+    named = user_similarity(ratings, metric, users=[1, 2])
+    expected = {tuple(r[c] for c in columns): r["sim"] for r in everyone.where("user_id <= 2").collect()}
+    got = {tuple(r[c] for c in columns): r["sim"] for r in named.collect()}
+    assert got.keys() == expected.keys() and len(got) > 5
+    assert all(abs(got[k] - expected[k]) < 1e-9 for k in got)
+    single = {(r["user_id"], r["other_user_id"]): r["n"] for r in user_similarity(small_ratings, metric).collect()}
+    assert all(single[a, b] == n for a, b, n in got)

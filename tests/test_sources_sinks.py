@@ -89,3 +89,16 @@ def test_shared_dir_follows_the_session():
 def test_materialise(spark):
     df = materialise(spark.range(5), "numbers")
     assert df.count() == 5 and df.columns == ["id"]
+
+
+@pytest.mark.parametrize("line", [",4,2.0", "1,3,", "1,,2.0", "1,2", "1,2,3,4"])
+def test_rating_lines_with_missing_fields_fail(spark, tmp_path, line):
+    (tmp_path / "r.csv").write_text(f"1,2,3.0\n\n{line}\n")
+    with pytest.raises(Exception):
+        files.read_ratings(spark, str(tmp_path / "r.csv")).collect()
+
+
+def test_boolean_rating_lines(spark, tmp_path):
+    (tmp_path / "r.csv").write_text("1,2\n\n 3 , 4 ,5.5\n")
+    rows = files.read_ratings(spark, str(tmp_path / "r.csv"), boolean=True).collect()
+    assert sorted(map(tuple, rows)) == [(1, 2, 1.0), (3, 4, 1.0)]

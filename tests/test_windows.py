@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tideline.functions.parsing import parse_int, tokenize
 from tideline.operators.aggregates import int_average, word_count
 from tideline.streaming import runtime, windows
-from tideline.streaming.retained import sliding_word_count_retained
+from tideline.streaming.retained import retained_session, sliding_word_count_retained
 
 MESSAGES = "value STRING, timestamp TIMESTAMP"
 
@@ -76,7 +76,8 @@ def test_sliding_counts_with_and_without_zeros(spark):
     assert set(plain) == {r for r in kept if r[2] > 0}
 
 
-BATCHES = [[("3", 0), ("4", 5)], [("10", 12)], [("-7", 31), ("-8", 33)], [("1", 14)]]
+# Later batches hold messages that are days earlier than those before them.
+BATCHES = [[("3", 900_000), ("4", 900_005)], [("10", 12)], [("-7", 31), ("-8", 500_033)], [("1", 14), ("2", 900_001)]]
 
 
 def test_stream_average_is_the_table_average(spark, tmp_path):
@@ -102,8 +103,8 @@ def test_stream_words_are_the_table_words(spark, tmp_path):
 
 def test_stream_keeps_expired_words(spark, tmp_path):
     batches = [[("a b a", 0)], [("c", 1)], [("z", 9)], [("z", 30)], [("y", 31)]]
-    words = tokenize(stream_of(spark, tmp_path / "in", batches))
-    counts = sliding_word_count_retained(words, "5 seconds", "1 second", lateness="0 seconds")
+    words = tokenize(stream_of(retained_session(spark), tmp_path / "in", batches))
+    counts = sliding_word_count_retained(words, "0 seconds", "5 seconds", "1 second")
     got = runtime.drain_appends(counts, "test-retained")
     table = windows.sliding_word_count(
         tokenize(stamped(spark, [r for b in batches for r in b])), "5 seconds", "1 second",
@@ -116,7 +117,7 @@ def test_stream_keeps_expired_words(spark, tmp_path):
 def test_retained_window_must_be_a_multiple(spark, tmp_path):
     words = tokenize(stream_of(spark, tmp_path / "in", [[("a", 0)]]))
     with pytest.raises(ValueError):
-        sliding_word_count_retained(words, "5 seconds", "2 seconds")
+        sliding_word_count_retained(words, "0 seconds", "5 seconds", "2 seconds")
 
 
 def test_empty_batches_are_skipped_and_restart_resumes(spark, tmp_path):
@@ -145,3 +146,27 @@ def test_panes_are_counted_before_they_are_spread(spark):
     plan = windows.sliding_word_count(words)._jdf.queryExecution().optimizedPlan().toString()
     lines = [l for l in plan.splitlines() if "Expand" in l or "Aggregate" in l]
     assert len(lines) == 3 and "Expand" in lines[1]  # aggregate over spread over aggregate
+
+
+def test_rows_behind_the_watermark_are_an_error(spark, tmp_path):
+    stream = parse_int(stream_of(spark, tmp_path / "in", BATCHES))
+    averages = windows.streaming_average(stream, "10 seconds", lateness="1 minute")
+    with pytest.raises(ValueError, match="later than the watermark"):
+        runtime.drain_updates(averages, ["window_start", "window_end"], "test-late")
+
+
+def test_intervals_are_filled_over_many_stretches(spark, monkeypatch):
+    monkeypatch.setattr(windows, "STRETCH", 7)
+    table = windows.batch_counts(stamped(spark, [("a", 0), ("b", 200), ("c", 999)]), "2 seconds")
+    assert seconds(table, "window_start", "n") == [(t, int(t in (0, 200, 998))) for t in range(0, 1000, 2)]
+
+
+def test_retained_totals_after_a_long_jump(spark, tmp_path):
+    batches = [[("a", i) for i in range(0, 40, 3)], [("z", 3000)]]
+    words = tokenize(stream_of(retained_session(spark), tmp_path / "in", batches))
+    got = runtime.drain_appends(sliding_word_count_retained(words, "1 hour", "20 seconds", "1 second"), "test-jump")
+    assert got.count() == 0  # all windows are still open
+    words = tokenize(stream_of(retained_session(spark), tmp_path / "in2", batches))
+    got = runtime.drain_appends(sliding_word_count_retained(words, "0 seconds", "20 seconds", "1 second"), "test-jump")
+    found = dict(seconds(got.where("word = 'a'"), "window_end", "cnt"))
+    assert found == {e: sum(1 for i in range(0, 40, 3) if e - 20 <= i < e) for e in range(1, 3001)}

@@ -130,11 +130,13 @@ def infer_width(df: DataFrame) -> DataFrame:
 def to_vector(df: DataFrame, width: int) -> DataFrame:
     """Replace (indices, values) by a ``features`` vector of ``width`` slots.
 
-    Narrow vectors are filled slot by slot. Wide ones are sparse: the vector type
-    is stored as a struct, and reading that struct through ``from_json`` keeps
-    the assembly on the JVM without widening the row.
+    Indices must increase strictly from 0 to at most ``width`` - 1, whatever the
+    width; else it is an error. Narrow vectors are filled slot by slot. Wide ones
+    are sparse: the vector type is stored as a struct, and reading that struct
+    through ``from_json`` keeps the assembly on the JVM without widening the row.
     """
     kept = [c for c in df.columns if c not in ("indices", "values")]
+    df = df.withColumn("indices", _checked_indices(width))
     if width <= DENSE_WIDTH:
         return df.select(*kept, array_to_vector(_filled_slots(width)).alias("features"))
     stored = F.struct(
@@ -149,17 +151,21 @@ def to_vector(df: DataFrame, width: int) -> DataFrame:
     return df.select(*kept, F.from_json(F.to_json(stored), schema)["v"].alias("features"))
 
 
+def _checked_indices(width: int) -> Column:
+    """The indices, if each is larger than the one before (the first than -1) and below the width."""
+    last = F.aggregate("indices", F.lit(-1), lambda before, i: F.when(i > before, i))
+    fits = F.coalesce((last < width) & (F.size("indices") == F.size("values")), F.lit(False))
+    message = F.lit(f"feature indices must increase strictly from 0 to {width - 1}")
+    return F.when(fits, F.col("indices")).otherwise(F.raise_error(message).cast("array<int>"))
+
+
 def _filled_slots(width: int) -> Column:
-    """Values by slot; an index beyond the width is an error, as in a sparse vector."""
+    """Values by slot."""
     def slot(i: Column) -> Column:
         place = F.nullif(F.array_position("indices", i).cast("int"), F.lit(0))
         return F.coalesce(F.try_element_at("values", place), F.lit(0.0))
 
-    slots = F.transform(F.sequence(F.lit(0), F.lit(width - 1)), slot)
-    fits = F.coalesce(F.try_element_at("indices", F.lit(-1)), F.lit(0)) < width
-    return F.when(fits, slots).otherwise(
-        F.raise_error(F.lit(f"feature index beyond width {width}")).cast("array<double>")
-    )
+    return F.transform(F.sequence(F.lit(0), F.lit(width - 1)), slot)
 
 
 def parse_int(df: DataFrame, line: str = "value", strict: bool = True) -> DataFrame:

@@ -39,6 +39,11 @@ def split_hash(df: DataFrame, key: str, weights: Sequence[float], salt: int = 0)
     return parts
 
 
+def one_per_pair(ratings: DataFrame) -> DataFrame:
+    """(user_id, item_id, pref): each user and item together once, with the mean of their preferences."""
+    return ratings.groupBy("user_id", "item_id").agg(F.avg(F.col("pref").cast("double")).alias("pref"))
+
+
 def to_boolean(ratings: DataFrame) -> DataFrame:
     """Each (user, item) once, with preference 1."""
     return ratings.select("user_id", "item_id").distinct().withColumn("pref", F.lit(1.0))

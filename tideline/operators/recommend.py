@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from tideline.operators.prep import to_boolean
+from tideline.operators.prep import one_per_pair, to_boolean
 from tideline.operators.similarity import (
     RANK_DIGITS, SIMILAR_ITEMS, neighbours, similar_of_seen,
 )
@@ -33,8 +33,10 @@ def estimate(ratings: DataFrame, neighbourhood: DataFrame,
     Items the user has rated are left out, and scores stay within the least and
     greatest preference of all ratings. ``users`` are those of the neighbourhood,
     when they are few. Rated items join in as marks, so that candidates are
-    added up and sorted out in the same, pre-aggregated, shuffle.
+    added up and sorted out in the same, pre-aggregated, shuffle. A user and item rated
+    several times count once, with the mean preference.
     """
+    ratings = one_per_pair(ratings)
     pref = F.col("pref").cast("double")
     theirs = ratings.select(F.col("user_id").alias("other_user_id"), "item_id", pref.alias("pref"))
     rated = ratings if users is None else ratings.where(F.col("user_id").isin(list(users)))

@@ -18,7 +18,7 @@ from tideline.operators import similarity as S
 from tideline.plans import tables as T
 from tideline.session import shared_dir
 from tideline.sinks import text as sinks
-from tideline.sources import files, streams, synthetic
+from tideline.sources import files, streams
 from tideline.streaming import retained, runtime, scoring, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,24 +83,6 @@ def s04_stream_lines(spark, sf_dir):
     return runtime.drain_appends(lines, "s04").select("value")
 
 
-@query
-def s06_gamma_matrix(spark, sf_dir):
-    keys = T.table(spark, sf_dir, "orders").select("o_orderkey")
-    rows = synthetic.gamma_rows(keys, "o_orderkey", cols=20, shape=100.0, scale=0.01, seed=11)
-    entries = rows.select(F.posexplode(vector_to_array("features")).alias("slot", "entry"))
-    return entries.groupBy("slot").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.round(F.avg("entry"), 1).alias("mean"),
-        F.round(F.var_samp("entry"), 2).alias("variance"),
-    )
-
-
-@query
-def s07_word_source(spark, sf_dir):
-    message = synthetic.digit_message(F.col("event_id"), words=5, seed=7)
-    return T.table(spark, sf_dir, "events").select("event_id", message.alias("value"))
-
-
 @query
 def k01_tuple_text(spark, sf_dir):
     key = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
@@ -161,7 +143,7 @@ def p04_parse_libsvm(spark, sf_dir):
     return _parsed_libsvm(spark, sf_dir).select(
         "label",
         F.array_join(F.col("indices").cast("array<string>"), " ").alias("indices"),
-        F.round(F.aggregate("values", F.lit(0.0), lambda a, v: a + v), DIGITS).alias("total"),
+        F.array_join(F.col("values").cast("array<string>"), " ").alias("feature_values"),
         F.size("values").alias("n_values"),
     )
 
@@ -181,6 +163,11 @@ def p07_sparse_assemble(spark, sf_dir):
     return _slots(P.to_vector(_parsed_libsvm(spark, sf_dir), 5), 5, "label")
 
 
+@query
+def p07_sparse_assemble_wide(spark, sf_dir):
+    return _slots(P.to_vector(_parsed_libsvm(spark, sf_dir), 40), 40, "label")
+
+
 @query
 def p08_parse_int(spark, sf_dir):
     text = F.explode(F.array(F.floor("value").cast("string"), F.col("event_type"), F.lit(" 7")))
@@ -268,9 +255,15 @@ def w02s_words_stream(spark, sf_dir):
 
 @query
 def w02z_retained_stream(spark, sf_dir):
-    words = _words(T.event_stream(spark, sf_dir))
-    counts = retained.sliding_word_count_retained(words, "12 hours", HOUR)
-    return _clock(runtime.drain_appends(counts, "w02z"))
+    # The replay is bounded: no event is later than the whole span, and a closing event
+    # brings the watermark to the end of the last window.
+    lateness = T.event_span(spark, sf_dir)
+    last_pane = F.date_trunc("hour", F.max("ts"))
+    closing = last_pane + F.make_interval(hours=F.lit(12), secs=F.lit(lateness + 1))
+    own = retained.retained_session(spark)
+    words = _words(T.event_stream(own, sf_dir, closing))
+    counts = retained.sliding_word_count_retained(words, f"{lateness} seconds", "12 hours", HOUR)
+    return _clock(runtime.drain_appends(counts, "w02z")).where(F.col("word") != T.CLOSING)
 
 
 # --- models -----------------------------------------------------------------------

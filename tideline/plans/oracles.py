@@ -174,10 +174,6 @@ ORACLES: dict[str, str] = {
     "s03_ratings_scan": f"""WITH {RATINGS} SELECT user_id, item_id,
       round(CAST(CAST(pref AS FLOAT) AS DOUBLE), 3) AS pref FROM r""",
     "s04_stream_lines": "SELECT concat(event_type, ' ', props) AS value FROM events",
-    "s06_gamma_matrix": """SELECT CAST(slot AS INTEGER) AS slot, count(*) AS n, 1.0::DOUBLE AS mean,
-      0.01::DOUBLE AS variance FROM orders, range(20) t(slot) GROUP BY slot""",
-    "s07_word_source": f"""SELECT event_id, concat_ws(' ', {', '.join(_digit(i, 7) for i in range(1, 6))}) AS value
-      FROM events""",
     "k01_tuple_text": f"SELECT concat('(0,', {LINE_KEY}, ',', l_quantity, ',0)') AS value FROM lineitem",
     "k05_recs_text": f"""WITH {RATINGS}, {ITEM_SIMS}, {ITEM_RECS} SELECT user_id, CAST(rnk AS INTEGER) AS rank,
       item_id, round(CAST(CAST(score AS FLOAT) AS DOUBLE), 4) AS score FROM recs""",
@@ -187,7 +183,8 @@ ORACLES: dict[str, str] = {
     "p03_parse_keyed_csv": f"""SELECT {LINE_KEY} AS id, l_quantity AS f0, l_discount AS f1, l_tax AS f2
       FROM lineitem""",
     "p04_parse_libsvm": f"""SELECT label, concat_ws(' ', CASE WHEN q <> 0 THEN '0' END, CASE WHEN d <> 0 THEN '1' END,
-      CASE WHEN t <> 0 THEN '2' END) AS indices, round(q + d + t, 6) AS total,
+      CASE WHEN t <> 0 THEN '2' END) AS indices, concat_ws(' ', CASE WHEN q <> 0 THEN CAST(q AS VARCHAR) END,
+      CASE WHEN d <> 0 THEN CAST(d AS VARCHAR) END, CASE WHEN t <> 0 THEN CAST(t AS VARCHAR) END) AS feature_values,
       CAST(q <> 0 AS INTEGER) + CAST(d <> 0 AS INTEGER) + CAST(t <> 0 AS INTEGER) AS n_values FROM ({SVM_ROWS})""",
     "p05_clean_lines": f"""SELECT value FROM ({SVM_LINES}) UNION ALL
       SELECT replace(value, ' 2:', '  2:') FROM ({SVM_LINES})""",
@@ -195,6 +192,8 @@ ORACLES: dict[str, str] = {
       FROM ({SVM_ROWS})""",
     "p07_sparse_assemble": f"""SELECT label, q AS f0, d AS f1, t AS f2, 0.0::DOUBLE AS f3, 0.0::DOUBLE AS f4
       FROM ({SVM_ROWS})""",
+    "p07_sparse_assemble_wide": f"""SELECT label, q AS f0, d AS f1, t AS f2,
+      {', '.join(f'0.0::DOUBLE AS f{i}' for i in range(3, 40))} FROM ({SVM_ROWS})""",
     "p08_parse_int": "SELECT event_id, CAST(floor(value) AS INTEGER) AS number FROM events",
     "p09_tokenize": """SELECT event_id, unnest(string_split(concat(event_type, '  ', props), ' ')) AS word
       FROM events""",
@@ -213,11 +212,9 @@ ORACLES: dict[str, str] = {
     "w02_zero_retained": f"""WITH {_sliding('12 hours', '1 hour', 12)},
       {SPANS} SELECT {_window('s.ws', '12 hours')}, s.word, coalesce(c.cnt, 0) AS cnt
       FROM spans s LEFT JOIN counts c ON c.word = s.word AND c.ws = s.ws""",
-    # A window is out once the watermark, ten minutes behind the last event, has passed it.
     "w02z_retained_stream": f"""WITH {_sliding('12 hours', '1 hour', 12)}, {SPANS}
       SELECT {_window('s.ws', '12 hours')}, s.word, coalesce(c.cnt, 0) AS cnt
-      FROM spans s LEFT JOIN counts c ON c.word = s.word AND c.ws = s.ws
-      WHERE s.ws + INTERVAL '12 hours' <= (SELECT max(ts) FROM events) - INTERVAL '10 minutes'""",
+      FROM spans s LEFT JOIN counts c ON c.word = s.word AND c.ws = s.ws""",
     "w02s_words_stream": f"""WITH {_sliding('12 hours', '1 hour', 12)}
       SELECT {_window('ws', '12 hours')}, word, cnt FROM counts""",
     "m01_nb_model": f"""WITH {_nb()} SELECT label, CAST(f AS INTEGER) AS feature, round(pi, 6) AS log_prior,

@@ -44,11 +44,31 @@ def event_numbers(events: DataFrame) -> DataFrame:
     )
 
 
-def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events as a stream. Event time must be TIMESTAMP to carry a watermark."""
-    path = f"{sf_dir}/events.parquet"
-    schema = spark.read.parquet(path).schema
-    return stream_table(spark, path, schema).withColumn("ts", F.col("ts").cast("timestamp"))
+EVENT_FILES = 4
+CLOSING = "closing"
+
+
+def event_stream(spark: SparkSession, sf_dir: str, closing: Column | None = None) -> DataFrame:
+    """The events as a stream of ``EVENT_FILES`` files in no order of time, a micro-batch each.
+
+    Event time must be TIMESTAMP to carry a watermark. ``closing`` adds a last file
+    with one event of type ``CLOSING`` at that time, an aggregate of the events' times.
+    """
+    path = shared_dir(spark, "event-files")
+    events = table(spark, sf_dir, "events")
+    events.repartition(EVENT_FILES, "event_id").write.parquet(path)
+    if closing is not None:
+        blanks = [F.lit(None).cast(f.dataType).alias(f.name) for f in events.schema if f.name not in ("ts", "event_type")]
+        last = events.agg(closing.cast(events.schema["ts"].dataType).alias("ts")).select(
+            "ts", F.lit(CLOSING).alias("event_type"), *blanks)
+        last.select(events.columns).write.mode("append").parquet(path)
+    return stream_table(spark, path, events.schema, max_files=1).withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def event_span(spark: SparkSession, sf_dir: str) -> int:
+    """Seconds from the first event to the last, rounded up."""
+    seconds = F.unix_timestamp(F.max("ts").cast("timestamp")) - F.unix_timestamp(F.min("ts").cast("timestamp"))
+    return table(spark, sf_dir, "events").agg(seconds).first()[0] + 1
 
 
 def lineitem_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

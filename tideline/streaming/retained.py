@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from tideline.streaming.windows import LATENESS
-
 OUTPUT = "word STRING, window_start TIMESTAMP, window_end TIMESTAMP, cnt BIGINT"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -45,18 +44,20 @@ class RetainedCounts(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         watermark = timerValues.getCurrentWatermarkInMs()
-        counts = {start[0]: cnt[0] for start, cnt in self.panes.iterator()}
-        end, ends, totals = self.due.get()[0], [], []
-        while end <= watermark:
-            ends.append(end)
-            totals.append(sum(c for s, c in counts.items() if end - self.window_ms <= s < end))
-            end += self.slide_ms
+        counts = dict(sorted((start[0], cnt[0]) for start, cnt in self.panes.iterator()))
+        ends = np.arange(self.due.get()[0], watermark + 1, self.slide_ms)
+        # A window's total is the difference of two running sums over the panes.
+        starts = np.array(list(counts), dtype=np.int64)
+        running = np.concatenate([[0], np.cumsum(list(counts.values()), dtype=np.int64)])
+        totals = (running[np.searchsorted(starts, ends)]
+                  - running[np.searchsorted(starts, ends - self.window_ms)])
+        end = self.due.get()[0] + self.slide_ms * len(ends)
         for start in counts:
             if start < end - self.window_ms:
                 self.panes.removeKey((start,))
         self.due.update((end,))
         self.handle.registerTimer(end)
-        if ends:
+        if len(ends):
             stamps = pd.to_datetime(pd.Series(ends), unit="ms")
             yield pd.DataFrame({
                 "word": key[0],
@@ -73,16 +74,22 @@ def _milliseconds(spark: SparkSession, interval: str) -> int:
     return int(pd.Timedelta(interval).total_seconds() * 1000)
 
 
-def sliding_word_count_retained(words: DataFrame, window: str = "2 minutes",
-                                slide: str = "10 seconds", time: str = "timestamp",
-                                lateness: str = LATENESS) -> DataFrame:
+def retained_session(spark: SparkSession) -> SparkSession:
+    """A session of the same application with the state store the retained counts need."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    return own
+
+
+def sliding_word_count_retained(words: DataFrame, lateness: str, window: str = "2 minutes",
+                                slide: str = "10 seconds", time: str = "timestamp") -> DataFrame:
     """(word, window_start, window_end, cnt), appended once the watermark passes a window.
 
-    Words are counted per pane first, so a frequent word reaches its state as
-    one row per pane. Needs the RocksDB state store, which is set here.
+    Rows later than ``lateness`` are dropped; the choice is the caller's. Words are
+    counted per pane first, so a frequent word reaches its state as one row per
+    pane. Needs the RocksDB state store: see :func:`retained_session`.
     """
     spark = words.sparkSession
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     window_ms, slide_ms = _milliseconds(spark, window), _milliseconds(spark, slide)
     if window_ms % slide_ms:
         raise ValueError("the window must be a multiple of the slide")

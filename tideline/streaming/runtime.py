@@ -4,48 +4,33 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tideline.session import shared_dir
 
 
-PARTITIONS_KEY = "spark.sql.shuffle.partitions"
-
-
 def start_query(writer: DataStreamWriter, checkpoint: str, interval: str | None = None,
-                timeout: float | None = None, wait: bool = True,
-                partitions: int | None = None) -> StreamingQuery:
+                timeout: float | None = None, wait: bool = True) -> StreamingQuery:
     """Start a stream with its own checkpoint folder.
 
     ``interval`` is the micro-batch interval; without one, all waiting input is
-    worked off and the query ends. ``partitions`` is the number of partitions its
-    state is kept in, fixed for good by the first start; else the session's.
+    worked off and the query ends. State is kept in as many partitions as the
+    session shuffles to at the first start.
     """
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
-    prepared = writer.option("checkpointLocation", checkpoint).trigger(**trigger)
-    if partitions is None:
-        query = prepared.start()
-    else:
-        # A query takes its own copy of the session's settings when it starts.
-        spark = SparkSession.getActiveSession()
-        before = spark.conf.get(PARTITIONS_KEY)
-        spark.conf.set(PARTITIONS_KEY, str(partitions))
-        try:
-            query = prepared.start()
-        finally:
-            spark.conf.set(PARTITIONS_KEY, before)
+    query = writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
     if wait:
         query.awaitTermination(timeout) if timeout else query.awaitTermination()
     return query
 
 
-def state_partitions(spark: SparkSession) -> int:
-    """The session's shuffle partitions, but no more than two per core.
-
-    Every state partition is committed in every batch, empty or not.
-    """
-    return min(int(spark.conf.get(PARTITIONS_KEY)), 2 * spark.sparkContext.defaultParallelism)
+def _complete(query: StreamingQuery) -> None:
+    """Raise if the stream has left out rows that came after its watermark."""
+    dropped = sum(state.numRowsDroppedByWatermark for progress in query.recentProgress
+                  for state in progress.stateOperators)
+    if dropped:
+        raise ValueError(f"{dropped} rows came later than the watermark allows and were dropped")
 
 
 def for_each_batch(df: DataFrame, fn: Callable[[DataFrame, int], None],
@@ -70,7 +55,7 @@ def drain_appends(df: DataFrame, purpose: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_dir(spark, purpose)
     writer = df.writeStream.outputMode("append").format("parquet").option("path", f"{path}/rows")
-    start_query(writer, f"{path}/checkpoint", partitions=state_partitions(spark))
+    _complete(start_query(writer, f"{path}/checkpoint"))
     return _read_table(df, f"{path}/rows")
 
 
@@ -87,8 +72,7 @@ def drain_updates(df: DataFrame, keys: Sequence[str], purpose: str) -> DataFrame
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/rows/batch={batch_id}")
 
-    start_query(for_each_batch(df, write, mode="update"), f"{path}/checkpoint",
-                partitions=state_partitions(spark))
+    _complete(start_query(for_each_batch(df, write, mode="update"), f"{path}/checkpoint"))
     written = spark.read.option("basePath", f"{path}/rows").parquet(f"{path}/rows")
     rest = [c for c in df.columns if c not in keys]
     last = F.max_by(F.struct(*rest), F.col("batch"))

@@ -1,7 +1,9 @@
 """Windowed aggregates. Each works on a table and on a stream.
 
 On a table, intervals without input are filled in; on a stream only intervals
-with input can appear, and rows later than the watermark are dropped.
+with input can appear. A stream has no watermark unless ``lateness`` is given: in
+update mode every row counts, however late, and the state keeps all intervals.
+With ``lateness`` older state is let go, and rows later than that are dropped.
 """
 
 from __future__ import annotations
@@ -10,11 +12,10 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tideline.operators.aggregates import average_columns, with_averages
 
-LATENESS = "10 minutes"
+STRETCH = 10_000
 
-
-def _stamped(df: DataFrame, time: str, lateness: str) -> DataFrame:
-    return df.withWatermark(time, lateness) if df.isStreaming else df
+def _stamped(df: DataFrame, time: str, lateness: str | None) -> DataFrame:
+    return df.withWatermark(time, lateness) if df.isStreaming and lateness else df
 
 
 def _flat_window(df: DataFrame) -> DataFrame:
@@ -29,17 +30,25 @@ def _step(interval: str) -> Column:
 
 
 def _fill_intervals(counts: DataFrame, interval: str) -> DataFrame:
-    """Every interval from first to last, joined with the (few) ones that have rows."""
+    """Every interval from first to last, joined with the (few) ones that have rows.
+
+    The grid is made in two steps, stretches of ``STRETCH`` intervals and then the
+    intervals of each, so that no row holds them all.
+    """
+    step = _step(interval)
     bounds = counts.agg(F.min("window_start").alias("first"), F.max("window_start").alias("last"))
-    grid = bounds.where(F.col("first").isNotNull()).select(
-        F.explode(F.sequence("first", "last", _step(interval))).alias("window_start")
-    ).withColumn("window_end", F.col("window_start") + _step(interval))
+    stretches = bounds.where(F.col("first").isNotNull()).select(
+        "last", F.explode(F.sequence("first", "last", step * F.lit(STRETCH))).alias("begin"))
+    grid = stretches.repartition("begin").select(
+        F.explode(F.sequence("begin", F.least("last", F.col("begin") + step * F.lit(STRETCH - 1)), step))
+        .alias("window_start")
+    ).withColumn("window_end", F.col("window_start") + step)
     found = counts.drop("window_end")
     return grid.join(found, "window_start", "left").withColumn("n", F.coalesce("n", F.lit(0)))
 
 
 def streaming_average(df: DataFrame, interval: str = "10 seconds", number: str = "number",
-                      time: str = "timestamp", lateness: str = LATENESS) -> DataFrame:
+                      time: str = "timestamp", lateness: str | None = None) -> DataFrame:
     """Average of each interval by itself: (window_start, window_end, n, total, avg_int, avg)."""
     counts = _flat_window(
         _stamped(df, time, lateness).groupBy(F.window(time, interval).alias("window"))
@@ -49,7 +58,7 @@ def streaming_average(df: DataFrame, interval: str = "10 seconds", number: str =
 
 
 def batch_counts(df: DataFrame, interval: str = "2 seconds", time: str = "timestamp",
-                 lateness: str = LATENESS) -> DataFrame:
+                 lateness: str | None = None) -> DataFrame:
     """Events per interval, with the report line: (window_start, window_end, n, message)."""
     counts = _flat_window(
         _stamped(df, time, lateness).groupBy(F.window(time, interval).alias("window"))
@@ -63,7 +72,7 @@ def batch_counts(df: DataFrame, interval: str = "2 seconds", time: str = "timest
 
 def sliding_word_count(words: DataFrame, window: str = "2 minutes", slide: str = "10 seconds",
                        time: str = "timestamp", keep_expired: bool = False,
-                       lateness: str = LATENESS) -> DataFrame:
+                       lateness: str | None = None) -> DataFrame:
     """(window_start, window_end, word, cnt) for a ``word`` column.
 
     A table is first counted per slide-long pane and only the pane counts are
