@@ -367,7 +367,7 @@ def m09_tree_stream(spark, sf_dir):
 @query
 def m10_pca(spark, sf_dir):
     return X.pca(T.embedding_rows(spark, sf_dir), 10).select(
-        "component", "feature", _rounded("loading"), _rounded("explained"))
+        "component", "feature", (F.round("loading", 4) + F.lit(0.0)).alias("loading"), _rounded("explained", 4))
 
 
 @query

@@ -168,6 +168,36 @@ def _sliding(length: str, slide: str, copies: int) -> str:
 SUM_INT = "count(*) AS n, CAST(sum(CAST(floor(value) AS BIGINT)) AS BIGINT) AS total"
 REPORT = "n, concat('Received ', n, ' flume events.') AS message"
 
+
+def _pca(k: int, squarings: int = 16) -> str:
+    """Principal components by repeated squaring of the covariance, then deflation, ``k`` times."""
+    steps = ["""e AS MATERIALIZED (SELECT vec_id, unnest(embedding)::DOUBLE AS v,
+      generate_subscripts(embedding, 1) - 1 AS i FROM embeddings)""",
+             "centred AS MATERIALIZED (SELECT vec_id, i, v - avg(v) OVER (PARTITION BY i) AS v FROM e)",
+             """m0 AS MATERIALIZED (SELECT x.i, y.i AS j, sum(x.v * y.v) / (count(*) - 1) AS v
+      FROM centred x JOIN centred y USING (vec_id) GROUP BY ALL)"""]
+    for c in range(k):
+        steps.append(f"""q{c}_0 AS MATERIALIZED (SELECT i, j, v / (SELECT sum(v) FROM m{c} WHERE i = j) AS v FROM m{c})""")
+        for n in range(squarings):
+            steps.append(f"""r{c}_{n} AS MATERIALIZED (SELECT x.i, y.j, sum(x.v * y.v) AS v
+      FROM q{c}_{n} x JOIN q{c}_{n} y ON x.j = y.i GROUP BY ALL)""")
+            steps.append(f"""q{c}_{n + 1} AS MATERIALIZED (SELECT i, j, v / (SELECT sum(v) FROM r{c}_{n} WHERE i = j) AS v
+      FROM r{c}_{n})""")
+        last = f"q{c}_{squarings}"
+        steps.append(f"""u{c} AS MATERIALIZED (SELECT i, v / sqrt(sum(v * v) OVER ()) AS v FROM {last}
+      WHERE j = (SELECT i FROM {last} WHERE i = j ORDER BY v DESC, i LIMIT 1))""")
+        steps.append(f"""v{c} AS MATERIALIZED (SELECT i, v * (SELECT sign(v) FROM u{c} ORDER BY abs(v) DESC, i LIMIT 1) AS v
+      FROM u{c})""")
+        steps.append(f"""l{c} AS MATERIALIZED (SELECT sum(m.v * a.v * b.v) AS l
+      FROM m{c} m JOIN v{c} a ON a.i = m.i JOIN v{c} b ON b.i = m.j)""")
+        steps.append(f"""m{c + 1} AS MATERIALIZED (SELECT m.i, m.j, m.v - l * a.v * b.v AS v
+      FROM m{c} m JOIN v{c} a ON a.i = m.i JOIN v{c} b ON b.i = m.j, l{c})""")
+    rows = " UNION ALL ".join(
+        f"""SELECT {c}::INTEGER AS component, i::INTEGER AS feature, round(v, 4) + 0.0::DOUBLE AS loading,
+      round(l / (SELECT sum(v) FROM m0 WHERE i = j), 4) AS explained FROM v{c}, l{c}""" for c in range(k))
+    return f"WITH {', '.join(steps)} {rows}"
+
+
 ORACLES: dict[str, str] = {
     "s01_text_scan": f"""SELECT concat(label, ',', concat_ws(' ', f0, f1, f2, f3)) AS value FROM ({NB_BASE})""",
     "s02_libsvm_scan": "SELECT l_extendedprice AS label, l_quantity AS f0, l_discount AS f1, l_tax AS f2 FROM lineitem",
@@ -233,6 +263,7 @@ ORACLES: dict[str, str] = {
     "m07_keyed_score": f"""WITH {grow(FLIGHT_BASE, 9, 5, (6, 7, 8))}
       SELECT id, round(mean, 4) AS prediction FROM leafed JOIN nodes USING (node)""",
     "m09_tree_stream": f"WITH {_tree('l_extendedprice')} {_leaf_counts(copies=2)}",
+    "m10_pca": _pca(10),
     "m11_covariance": """WITH e AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) - 1 AS i
         FROM embeddings)
       SELECT CAST(a.i AS INTEGER) AS i, CAST(b.i AS INTEGER) AS j, round(covar_samp(a.x, b.x), 6) AS cov
