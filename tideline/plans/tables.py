@@ -187,11 +187,15 @@ def flight_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flight_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keyed and labelled rows (id, label, features)."""
+    """Keyed and labelled rows (id, label, features), joined and written once.
+
+    The passes of a fit and the scoring read them instead of joining again.
+    """
     key = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
-    return flight_table(spark, sf_dir).select(
+    rows = flight_table(spark, sf_dir).select(
         key.alias("id"), F.col("l_extendedprice").alias("label"), _vector(*flight_columns()).alias("features")
     )
+    return materialise(rows, "flights")
 
 
 def embedding_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
