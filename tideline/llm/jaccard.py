@@ -19,9 +19,11 @@ largest partner lies in the next band is indexed there too. What is indexed is a
 * If that is still not enough (nearly all members in one segment), every member by itself.
 
 Equal sets are one class from the start. Members of an index entry are compared exactly with
-its first member; then, where an entry still holds several components, with the first of each
-other entry; then every two members of different components in an entry. So no link between
-components is lost, while a group of near copies costs a comparison per document.
+its first member: each text with the smallest of these first, then with all of them that it
+isn't tied to; then every two members of different components in an entry. So no link between
+components is lost, while a group of near copies costs a comparison per document. Texts are
+compared only where the sizes and a sketch of each set (bucket counts, which bound the
+intersection from above) allow a link.
 Rows stream through sorted index blocks, so an entry of any size fits a task; equal sets of a
 scanning batch are indexed once.
 
@@ -36,7 +38,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tideline.llm.components import components
+from tideline.llm.components import components, labels
 from tideline.llm.flat import grams, mix, slices, string_column, text_buffers, words
 from tideline.llm.packed import pack_texts, unpack
 from tideline.session import materialise
@@ -44,9 +46,12 @@ from tideline.session import materialise
 N = 5
 PERCENT = 75
 BAND = 4
-FILL = 3  # mean members of a segment for the largest sets of a band
-FREQUENT = 256  # a member is frequent if one document in so many has it
+FILL = 1.5  # mean members of a segment for the largest sets of a band
+FREQUENT = 2048  # a member is frequent if one document in so many has it
 MOST_FREQUENT = 1 << 17  # bounds what is sent to every task
+CROWD = 16  # entries of more components are compared in blocks
+BLOCK = 768
+TOKENS_AT_ONCE = 8192
 _U = np.uint64
 
 
@@ -92,21 +97,31 @@ def _text_slices(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray
         yield keys[i:j], data, offsets[i:j + 1]
 
 
+def _sketch(own: np.ndarray) -> bytes:
+    """How many members fall into each of about size / 3 buckets, a byte each."""
+    width = 1 << max(int(len(own)).bit_length() - 2, 0)
+    counts = np.bincount((own & _U(width - 1)).astype(np.int64), minlength=width)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
 def describe(rows: DataFrame, n: int = N) -> DataFrame:
-    """(key, size, h1, h2): size and hash of each text's set."""
-    schema = "key long, size long, h1 long, h2 long"
+    """(key, size, h1, h2, sketch): size, hash and bucket counts of each text's set."""
+    schema = "key long, size long, h1 long, h2 long, sketch binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = []
+            parts, sketches = [], []
             data, offsets = string_column(batch, "text")
             for i, j in slices(offsets):
                 member, doc = shingles(data, offsets[i:j + 1], n)
                 size = np.bincount(doc, minlength=j - i)
                 parts.append([size, *[h.view(np.int64) for h in _set_hashes(member, doc, j - i)]])
+                ends = np.concatenate([[0], np.cumsum(size)])
+                sketches += [_sketch(member[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
             if parts:
                 columns = [pa.array(np.concatenate(p), pa.int64()) for p in zip(*parts, strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["key", "size", "h1", "h2"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), *columns, pa.array(sketches, pa.binary())],
+                                                 ["key", "size", "h1", "h2", "sketch"])
 
     return rows.mapInArrow(run, schema)
 
@@ -115,11 +130,20 @@ def frequent_members(rows: DataFrame, n: int = N) -> np.ndarray:
     """Members of at least one document in FREQUENT, sorted; counted over all texts.
 
     A batch passes on what is frequent in it; a frequent member may be missed if it gathers
-    nowhere, which only costs time. FREQUENT times the mean set size bounds the number.
+    nowhere, which only costs time; so does the bound MOST_FREQUENT.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shingles(d, o, n)[0] for _, d, o in _text_slices(batch)]
+            seen: set[tuple] = set()
+            found = []
+            for keys, data, offsets in _text_slices(batch):
+                member, doc = shingles(data, offsets, n)
+                # Equal sets count once: they are one class whatever they hold.
+                fresh = []
+                for h in zip(*[h.tolist() for h in _set_hashes(member, doc, len(keys))], strict=True):
+                    fresh.append(h not in seen)
+                    seen.add(h)
+                found.append(member[np.array(fresh, bool)[doc]])
             if found:
                 member, count = np.unique(np.concatenate(found), return_counts=True)
                 often = count >= max(4, batch.num_rows // (2 * FREQUENT))
@@ -164,7 +188,7 @@ def signatures(member: np.ndarray, doc: np.ndarray, size: np.ndarray, frequent:
         reach = np.minimum(partner, bound)
         used = (size > 0) & ((above == 0) | (partner > BAND ** level.astype(np.int64) - 1))
         differing = (size + reach) * (100 - percent) // (100 + percent)
-        segments = -(-(bound + 1) // FILL)
+        segments = np.ceil((bound + 1) / FILL).astype(np.int64)
         take = used[doc]
         m, d, r = member[take], doc[take], rare[take]
         if not len(m):
@@ -261,6 +285,33 @@ def _shared(sorted_entries: DataFrame) -> DataFrame:
     return sorted_entries.mapInArrow(run, "sig long, key long, leader long")
 
 
+def _most_shared(a: bytes, b: bytes) -> int | None:
+    """The most members two sets can share by their sketches; None if a count is full."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    if x.max() == 255 or y.max() == 255:
+        return None
+    width = min(len(x), len(y))
+    x, y = (v.reshape(-1, width).sum(axis=0, dtype=np.int64) for v in (x, y))
+    return int(np.minimum(x, y).sum())
+
+
+def _possible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that their sizes and sketches allow to link; no link is lost."""
+    both = pairs.join(sketches.toDF("a", "size_a", "x"), "a").join(sketches.toDF("b", "size_b", "y"), "b").where(
+        F.least("size_a", "size_b") * 100 >= F.greatest("size_a", "size_b") * percent)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [batch.column(i).to_pylist() for i in range(2, 6)]
+            keep = []
+            for size_a, x, size_b, y in zip(*columns, strict=True):
+                most = _most_shared(x, y)
+                keep.append(most is None or 100 * most >= percent * (size_a + size_b - most))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return both.select("a", "b", "size_a", "x", "size_b", "y").mapInArrow(run, "a long, b long")
+
+
 PAIRS_AT_ONCE = 256
 
 
@@ -291,6 +342,45 @@ def _linked(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFra
     return both.mapInArrow(run, "a long, b long")
 
 
+def _in_blocks(crowded: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """Links (a, b) that tie what is similar within each entry, from (sig, key, key_c, n members).
+
+    An entry is dealt by hash into chunks of about BLOCK members, and each pair of chunks is
+    compared in one task; a chunk pair gives a link per member at most, not its pairs.
+    """
+    chunks = F.ceil(F.col("n") / BLOCK).cast("int")
+    dealt = (crowded.withColumn("chunk", F.pmod(F.xxhash64("key"), chunks).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
+             .select("sig", "key", "key_c", F.least("chunk", "other").alias("low"),
+                     F.greatest("chunk", "other").alias("high")))
+
+    def run(table: pa.Table) -> pa.Table:
+        key = np.asarray(table.column("key"))
+        tie = np.asarray(table.column("key_c"))
+        raw = unpack(table.column("packed").to_pylist())
+        data, offsets = text_buffers(pa.array(raw, pa.large_binary()).cast(pa.large_string()))
+        member, doc = shingles(data, offsets, n)
+        size = np.bincount(doc, minlength=len(key))
+        _, token, count = np.unique(member, return_inverse=True, return_counts=True)
+        often = count[token] > 1
+        token = np.unique(token[often], return_inverse=True)[1]
+        width = int(token.max()) + 1 if len(token) else 0
+        inter = np.zeros((len(key), len(key)), np.float32)
+        for low in range(0, width, TOKENS_AT_ONCE):
+            here = (token >= low) & (token < low + TOKENS_AT_ONCE)
+            has = np.zeros((len(key), min(TOKENS_AT_ONCE, width - low)), np.float32)
+            has[doc[often][here], token[here] - low] = 1
+            inter += has @ has.T
+        union = size[:, None] + size[None, :] - inter
+        i, j = np.nonzero((100 * inter >= percent * union) & (union > 0) & (tie[:, None] < tie[None, :]))
+        root = labels(len(key), i, j)
+        tied = np.flatnonzero(root != np.arange(len(key)))
+        return pa.table({"a": key[root[tied]], "b": key[tied]})
+
+    rows = dealt.join(texts, "key").select("sig", "low", "high", "key", "key_c", "packed")
+    return rows.groupBy("sig", "low", "high").applyInArrow(run, "a long, b long")
+
+
 def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = N, percent: int = PERCENT) -> DataFrame:
     """(key, n_shingles, component_id) of every row; the component is its smallest linked key."""
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
@@ -304,40 +394,54 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = N
     blocks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     entries = _index_entries(known, frequent_members(known, n), n, percent)
     shared = materialise(_shared(entries.repartition(blocks, "sig").sortWithinPartitions("sig", "key")), "shared")
-    wanted = shared.groupBy("key").agg(F.min("leader").alias("leader"))
-    texts = materialise(pack_texts(known).join(wanted.select("key"), "key"), "texts")
-    sizes = described.groupBy("key").agg(F.max("size").alias("size"))
+    sketches = described.where("key is not null").groupBy("key").agg(
+        F.max(F.struct("size", "sketch")).alias("s")).select("key", "s.size", "s.sketch")
+    sketches = materialise(sketches, "sketches")
 
-    def fitting(pairs: DataFrame) -> DataFrame:
-        """Pairs whose sizes allow a link."""
-        sized = (pairs.join(sizes.toDF("a", "size_a"), "a").join(sizes.toDF("b", "size_b"), "b"))
-        return sized.where(F.least("size_a", "size_b") * 100 >= F.greatest("size_a", "size_b") * percent).select("a", "b")
+    def texts_of(keys: DataFrame) -> DataFrame:
+        """The texts of some keys; all others stay behind in one shuffle."""
+        wanted = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).select("key")
+        return materialise(pack_texts(known).join(wanted, "key", "left_semi"), "texts")
+
+    def ends(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.explode(F.array("a", "b")).alias("key"))
+
+    def linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+        return materialise(_linked(pairs, texts, n, percent), "links")
 
     def with_component(df: DataFrame, found: DataFrame, name: str) -> DataFrame:
         tied = df.join(found.toDF(name, f"{name}_c"), name, "left")
         return tied.withColumn(f"{name}_c", F.coalesce(f"{name}_c", name))
 
-    # First: every key with the smallest leader it meets.
-    first = wanted.where("key <> leader").select(F.col("leader").alias("a"), F.col("key").alias("b"))
-    links = materialise(equal.union(_linked(fitting(first), texts, n, percent)), "links")
+    # The pairs of a key and a leader it meets that may link.
+    met = shared.where("key <> leader").groupBy(F.col("leader").alias("a"), F.col("key").alias("b")).agg(
+        F.count(F.lit(1)).alias("n"))
+    met = materialise(_possible(met.select("a", "b"), sketches, percent), "met")
+    texts = texts_of(ends(met))
+
+    # First: every key with the smallest of these leaders.
+    first = met.groupBy("b").agg(F.min("a").alias("a"))
+    links = equal.union(linked(first.select("a", "b"), texts))
     found = components(links)
 
-    # Then: with every leader it meets and isn't tied to.
-    met = shared.where("key <> leader").groupBy(F.col("leader").alias("a"), F.col("key").alias("b")).agg(
-        F.count(F.lit(1)).alias("n")).select("a", "b")
+    # Then: with every one of them it isn't tied to.
     apart = with_component(with_component(met, found, "a"), found, "b").where("a_c <> b_c").select("a", "b")
-    more = materialise(_linked(fitting(apart), texts, n, percent), "links")
-    links = links.union(more)
+    links = links.union(linked(apart, texts))
     found = components(links)
 
-    # Last: all other members of an entry that aren't tied.
-    members = with_component(shared, found, "key")
-    several = members.groupBy("sig").agg(F.min("key_c").alias("low"), F.max("key_c").alias("high")).where("low < high")
-    loose = materialise(members.join(several.select("sig"), "sig", "left_semi").where("key <> leader"), "loose")
-    pairs = (loose.select("sig", F.col("key").alias("a"), F.col("key_c").alias("a_c"))
-             .join(loose.select("sig", F.col("key").alias("b"), F.col("key_c").alias("b_c")), "sig")
+    # Last: every two members of an entry that aren't tied; entries of many components in blocks.
+    members = with_component(shared.select("sig", "key"), found, "key")
+    ties = members.groupBy("sig", "key_c").agg(F.count(F.lit(1)).alias("n"))
+    several = ties.groupBy("sig").agg(F.count(F.lit(1)).alias("parts"), F.sum("n").alias("n")).where("parts > 1")
+    members = materialise(members.join(several, "sig"), "loose")
+    few = members.where(F.col("parts") <= CROWD).select("sig", "key", "key_c")
+    pairs = (few.toDF("sig", "a", "a_c").join(few.toDF("sig", "b", "b_c"), "sig")
              .where("a < b and a_c <> b_c").groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).select("a", "b"))
-    links = links.union(materialise(_linked(fitting(pairs), texts, n, percent), "links"))
+    pairs = materialise(_possible(pairs, sketches, percent), "pairs")
+    crowded = members.where(F.col("parts") > CROWD)
+    texts = texts_of(ends(pairs).union(crowded.select("key")))
+    links = links.union(linked(pairs, texts)).union(
+        materialise(_in_blocks(crowded, texts, n, percent), "links"))
     found = components(links).toDF("id", "component")
     return described.join(found, F.col("key") == F.col("id"), "left").select(
         F.col("key").alias(key), F.col("size").alias("n_shingles"),
