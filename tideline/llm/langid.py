@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from tideline.llm.flat import slices, string_column
 
 ORDER = 3
-SYMBOLS = 40
+SYMBOLS = 32
 SAMPLE_DOCS = 300
 SAMPLE_BYTES = 2_000_000  # of one language at most, taken in the order of the hash; whole texts
 MOST_LANGUAGES = 200  # bounds what the driver reads; more languages are learned in the order of names
