@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from tideline.streaming.retained import retained_session
 from tideline.plans import jobs
 from tideline.sources.files import read_lines
 
@@ -74,10 +75,11 @@ def test_recommenders(spark, tmp_path, small_ratings, pearson_ratings):
 def test_streams(spark, tmp_path):
     numbers = stream(spark, write(spark, str(tmp_path / "n"), ["3", "4"]))
     words = stream(spark, write(spark, str(tmp_path / "w"), ["a b a"]))
+    kept = stream(retained_session(spark), str(tmp_path / "w"))
     for number, query in enumerate([
         jobs.average_messages(numbers, str(tmp_path / "c0"), trigger=None),
         jobs.count_words(words, str(tmp_path / "c1"), keep_expired=False, trigger=None),
-        jobs.count_words(words, str(tmp_path / "c2"), trigger=None),
+        jobs.count_words(kept, str(tmp_path / "c2"), lateness="1 minute", trigger=None),
         jobs.count_events(words, str(tmp_path / "c3"), trigger=None),
     ]):
         assert query.exception() is None, number

@@ -129,12 +129,18 @@ def average_messages(lines: DataFrame, checkpoint: str, interval: str = "10 seco
 
 
 def count_words(lines: DataFrame, checkpoint: str, window: str = "2 minutes",
-                slide: str = "10 seconds", keep_expired: bool = True,
+                slide: str = "10 seconds", keep_expired: bool = True, lateness: str | None = None,
                 trigger: str | None = "10 seconds", wait: bool = True) -> StreamingQuery:
-    """Sliding word counts, printed; ``keep_expired`` goes on reporting vanished words as 0."""
+    """Sliding word counts, printed; ``keep_expired`` goes on reporting vanished words as 0.
+
+    That needs a ``lateness``, beyond which rows are dropped, and lines read in a
+    :func:`tideline.streaming.retained.retained_session`.
+    """
     words = tokenize(lines)
     if keep_expired:
-        writer = console_sink(sliding_word_count_retained(words, window, slide))
+        if lateness is None:
+            raise ValueError("keep_expired needs a lateness")
+        writer = console_sink(sliding_word_count_retained(words, lateness, window, slide))
     else:
         writer = console_sink(sliding_word_count(words, window, slide), mode="update")
     return start_query(writer, checkpoint, trigger, wait=wait)
