@@ -112,6 +112,16 @@ def test_language_of_odd_texts(documents):
     assert got[12]["score"] == 0 and all(0 <= r["score"] <= 1 for r in got.values()) and got[0]["key"] == "k"
 
 
+def test_only_letters_make_a_language(documents):
+    bare = ["👩‍👩‍👧 🎉", "“…” – — ‘’", "€ 5 £ ¥", "١٢٣ ४५६", "½ ² Ⅷ", "\u0301"]
+    texts = ["the cat and the hat"] * 6 + bare + [f"{t} é" for t in bare] + ["日本語", "кот", "१२ क", "ª"]
+    docs = documents(texts)
+    got = {r["doc_id"]: r for r in langid.identify(docs, langid.fit(docs.where("doc_id < 6"))).collect()}
+    for i, text in enumerate(texts):
+        known = any(c.isalpha() for c in text)
+        assert (got[i]["lang_pred"], got[i]["score"] > 0) == (("en", True) if known else ("und", False)), text
+
+
 def test_language_without_labels(documents):
     docs = documents(["some text", None], langs=(None,))
     got = langid.identify(docs, langid.fit(docs)).collect()

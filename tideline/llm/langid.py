@@ -39,7 +39,6 @@ _FOLD[48:58] = 48
 _FOLD[[9, 10, 11, 12, 13]] = 32
 _LETTER = np.zeros(256, dtype=bool)
 _LETTER[97:123] = True
-_LETTER[128:] = True
 
 
 def held_out(key: Column) -> Column:
@@ -47,6 +46,21 @@ def held_out(key: Column) -> Column:
     return F.crc32(key.cast("string").cast("binary")) % 5 == 0
 
 
+def lettered(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Which texts have a letter of any script (Unicode categories L*).
+
+    Characters are decoded only in texts without an ASCII letter, up to their first letter.
+    """
+    def some(marked: np.ndarray) -> np.ndarray:
+        return np.diff(np.concatenate([[0], np.cumsum(marked)])[bounds]) > 0
+
+    found = some(_LETTER[_FOLD[data]])
+    for i in np.flatnonzero(~found & some(data >= 128)):
+        characters = data[bounds[i]:bounds[i + 1]].tobytes().decode("utf-8", "replace")
+        found[i] = any(map(str.isalpha, characters))
+    return found
+
+
 class ContextTrees:
     """Frozen code lengths: bits[language][s0 s1 .. sORDER] of the last symbol after the others."""
 
@@ -82,11 +96,11 @@ class ContextTrees:
         return (-np.log2(chance)).ravel().astype(np.float32)
 
     def score(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(bits of each text by language, letters, coded bytes of each text)."""
+        """(bits of each text by language, whether it has a letter, its coded bytes)."""
         base, end = int(offsets[0]), int(offsets[-1])
         data, bounds = data[base:end], np.asarray(offsets) - base
         n, n_docs = len(data), len(bounds) - 1
-        letters = np.diff(np.concatenate([[0], np.cumsum(_LETTER[_FOLD[data]])])[bounds])
+        letters = lettered(data, bounds)
         bits = np.zeros((n_docs, len(self.languages)))
         if n and self.languages:
             space = int(self.symbol[32])
@@ -140,7 +154,7 @@ def identify(docs: DataFrame, trees: ContextTrees, text: str = "text") -> DataFr
             best, score, rate = [], [], []
             for i, j in slices(offsets):
                 bits, letters, size = trees.score(data, offsets[i:j + 1])
-                known = (letters > 0) & bool(trees.languages)
+                known = letters & bool(trees.languages)
                 at = bits.argmin(axis=1) if trees.languages else np.zeros(j - i, np.int64)
                 least = bits.min(axis=1) if trees.languages else np.zeros(j - i)
                 share = 1 / np.exp2(np.maximum(least[:, None] - bits, -1000)).sum(axis=1).clip(1)
