@@ -123,6 +123,24 @@ def test_named_users_agree_with_everyone(spark, metric, reference):
     assert all(math.isclose(got[p], s, abs_tol=1e-9) for p, (s, _) in expected.items())
 
 
+CLOSE = [3.0, 3.0000001, 2.9999999]
+
+
+@pytest.mark.parametrize("extra", [[], [(9, 7, 4e12), (9, 8, 1e13)], [(1, 8, 1e9), (2, 9, 1e9)]],
+                         ids=["alone", "huge_mean", "huge_of_the_same_user"])
+def test_small_variation_is_seen_by_every_plan(spark, plan, extra):
+    """Prefs 3.0, 3.0000001, 2.9999999 vary, whatever the mean rating is."""
+    ratings = [(1, i, p) for i, p in enumerate(CLOSE)] + [(2, i, 1.0 + i * i) for i in range(3)] \
+        + [(3, i, 5.0 - i) for i in range(3)] + [(4, i, 2.0) for i in range(3)] + extra
+    expected = brute(ratings, pearson)
+    assert {(u, v) for u, v in expected if max(u, v) < 9} == set(itertools.permutations((1, 2, 3), 2))
+    df = spark.createDataFrame(ratings, "user_id BIGINT, item_id BIGINT, pref DOUBLE")
+    for users in (None, [1, 2, 3, 4, 9]):
+        got = {(r.user_id, r.other_user_id): r.sim for r in S.user_similarity(df, users=users).collect()}
+        assert got.keys() == expected.keys(), users
+        assert all(math.isclose(got[p], s, abs_tol=1e-7) for p, (s, _) in expected.items()), users
+
+
 # --- the kernel alone -------------------------------------------------------------
 
 VALUES = st.sampled_from([0.0, 0.1, 0.2, 0.3, 0.7, 2.5, 5.0, 1e4])
