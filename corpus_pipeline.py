@@ -8,6 +8,7 @@
 5. best-fit packing: the pieces of the texts with their bins.
 
 Every stage is written before the next reads it. Models are fitted on the stage's own input.
+The first four stages read and return the columns of ``documents``; others are left behind.
 Rows that repeat a doc_id are one document and stay or go together. Rows without a doc_id
 are compared with nothing and stay, if their text does.
 """
@@ -21,19 +22,22 @@ from tideline.llm.queries import BIN_BYTES
 from tideline.session import materialise
 
 
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = langid.identify(docs.select("doc_id", "text", "lang", "source", "n_chars"), langid.fit(docs))
-    return found.where(F.col("lang_pred") != langid.UNKNOWN).select(docs.columns)
+    found = langid.identify(docs.select(COLUMNS), langid.fit(docs))
+    return found.where(F.col("lang_pred") != langid.UNKNOWN).select(COLUMNS)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality.classify(docs, model).where("predicted = 1").select(docs.columns)
+    return quality.classify(docs.select(COLUMNS), model).where("predicted = 1").select(COLUMNS)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     later = jaccard.similar(docs).where("doc_id <> component_id").select("doc_id")
-    return docs.join(later, "doc_id", "left_anti").select(docs.columns)
+    return docs.select(COLUMNS).join(later, "doc_id", "left_anti")
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Each stage of the pipeline against brute force on what the stage before it kept."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from test_texts import grouped, removed
@@ -65,3 +66,14 @@ def test_stages_take_empty_tables(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").where("false")
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, SF).count() == 0
+
+
+def test_stages_take_extra_columns_of_clashing_names(spark, documents):
+    docs = documents([f"the cat number {i} sat on the mat and the hat of day {i}" for i in range(12)] + [None])
+    for name in ("lang_pred", "predicted", "bits_per_byte", "component_id", "n_removed", "kept"):
+        docs = docs.withColumn(name, F.lit("theirs"))
+    plain = docs.select(corpus_pipeline.COLUMNS)
+    for name, stage in corpus_pipeline.STAGES:
+        got, want = stage(spark, docs, SF), stage(spark, plain, SF)
+        assert name == "packing" or got.columns == corpus_pipeline.COLUMNS, name
+        assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str), name
