@@ -91,8 +91,12 @@ class Words:
         return np.concatenate([[0], np.cumsum(self.counts())])
 
 
-def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False, hashed: bool = True) -> Words:
-    """The words of the texts ``data[offsets[i]:offsets[i + 1]]``; ``lower`` folds A-Z."""
+def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False, hashed: bool = True,
+          is_word: np.ndarray = _IS_WORD) -> Words:
+    """The words of the texts ``data[offsets[i]:offsets[i + 1]]``; ``lower`` folds A-Z.
+
+    ``is_word`` tells by byte value what words are made of, if not of all but white space.
+    """
     base = int(offsets[0])
     data = data[base:int(offsets[-1])]
     bounds = np.asarray(offsets, dtype=np.int64) - base
@@ -100,7 +104,7 @@ def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False, hashed: bo
     if n == 0:
         empty = np.zeros(0, np.int64)
         return Words(np.zeros(0, np.uint64), empty, empty, empty, n_docs)
-    inside = _IS_WORD[data]
+    inside = is_word[data]
     fresh = np.zeros(n + 1, dtype=bool)  # a text begins here
     fresh[bounds] = True
     before = np.empty(n, dtype=bool)

@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tideline.llm import bpe, chat, embedding_dedup, jaccard, langid, neighbours, packing, quality, sharding, substring
+from tideline.llm import (
+    bpe, chat, embedding_dedup, jaccard, langid, lexical, neighbours, packing, quality, sharding, substring,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -25,6 +27,7 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 
 SHARDS = 40
 BIN_BYTES = 8192
+BEST = 50
 
 
 @query
@@ -96,6 +99,12 @@ def op10_packing(spark, sf_dir):
     return packing.pack(docs, BIN_BYTES, F.octet_length("text"), F.xxhash64("text"))
 
 
+@query
+def op12_lexical_search(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return lexical.search(docs, table(spark, sf_dir, "benchmark", "item_id", "text"), BEST)
+
+
 # The dialogue table in SQL: running sums over each dialogue, as the operator defines them.
 ORACLES["op4_chat_rotation"] = """
 WITH lines AS (
@@ -119,3 +128,30 @@ SELECT conv_id, perspective, position, turn, speaker, role, segment, b AS "begin
   CASE WHEN role = 'assistant' THEN b + length(head) + length(words) ELSE b + length(segment) END AS target_end
 FROM placed
 """
+
+# The formula of the search over all terms of all documents.
+ORACLES["op12_lexical_search"] = r"""
+WITH terms AS (
+  SELECT doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+lengths AS (SELECT doc_id, count(*) AS n FROM terms GROUP BY doc_id),
+corpus AS (SELECT count(*) AS docs, sum(n)::BIGINT AS length FROM lengths),
+asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+counts AS (
+  SELECT doc_id, term, count(*) AS tf FROM terms WHERE term IN (SELECT term FROM asked) GROUP BY doc_id, term),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM counts, corpus GROUP BY term, docs),
+impacts AS (
+  SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // length))) AS impact
+  FROM counts JOIN weights USING (term) JOIN lengths USING (doc_id), corpus),
+scores AS (
+  SELECT item_id, doc_id, sum(impact)::BIGINT AS score FROM asked JOIN impacts USING (term) GROUP BY item_id, doc_id)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM scores WHERE score > 0
+QUALIFY rank <= 50
+"""
