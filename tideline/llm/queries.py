@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tideline.llm import (
-    bpe, chat, embedding_dedup, jaccard, langid, lexical, neighbours, packing, quality, sharding, substring,
+    bpe, chat, embedding_dedup, jaccard, langid, lexical, neighbours, packing, perplexity, quality,
+    sharding, substring,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,6 +106,11 @@ def op12_lexical_search(spark, sf_dir):
     return lexical.search(docs, table(spark, sf_dir, "benchmark", "item_id", "text"), BEST)
 
 
+@query
+def op13_perplexity(spark, sf_dir):
+    return perplexity.judge(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+
+
 # The dialogue table in SQL: running sums over each dialogue, as the operator defines them.
 ORACLES["op4_chat_rotation"] = """
 WITH lines AS (
