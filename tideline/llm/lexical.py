@@ -209,12 +209,14 @@ def _search(table: DataFrame, queries: list[np.ndarray], weights: np.ndarray, to
     return table.mapInArrow(run, schema)
 
 
-def _search_block(docs: DataFrame, wanted: DataFrame, key: str, text: str, k: int) -> DataFrame:
-    """The k best (item, key, score) of some queries, whose terms are few enough for the driver."""
+def _search_block(docs: DataFrame, wanted: DataFrame, key: str, text: str, k: int) -> list[DataFrame]:
+    """The k best (item, key, score) of some queries, whose terms are few enough for the driver; [] without any."""
     spark = docs.sparkSession
     of_item: dict = {}
     for row in wanted.orderBy("item", "term").collect():
         of_item.setdefault(row["item"], []).append(row["term"])
+    if not of_item:
+        return []
     terms = sorted({t for found in of_item.values() for t in found})
     number = {t: i for i, t in enumerate(terms)}
     table = materialise(postings(docs, terms, key, text), "postings")
@@ -228,7 +230,7 @@ def _search_block(docs: DataFrame, wanted: DataFrame, key: str, text: str, k: in
     found = _search(table, queries, weights, total, length, k)
     items = spark.createDataFrame(list(enumerate(of_item)), T.StructType([
         T.StructField("number", T.IntegerType()), T.StructField("item", wanted.schema["item"].dataType)]))
-    return found.join(items, "number").select("item", "key", "score")
+    return [found.join(items, "number").select("item", "key", "score")]
 
 
 def search(docs: DataFrame, items: DataFrame, k: int = 50, key: str = "doc_id", text: str = "text",
@@ -242,14 +244,11 @@ def search(docs: DataFrame, items: DataFrame, k: int = 50, key: str = "doc_id",
     wanted = materialise(query_terms(items, item, item_text), "query-terms")
     passes = -(-wanted.count() // TERMS_AT_ONCE)
     number = F.pmod(F.xxhash64("item"), F.lit(max(passes, 1)))
-    parts = [_search_block(docs, wanted.where(number == p), key, text, k) for p in range(passes)]
-    if not parts:
-        none = T.StructType([wanted.schema["item"], T.StructField("key", T.LongType()),
-                             T.StructField("score", T.LongType())])
-        parts = [docs.sparkSession.createDataFrame([], none)]
-    found = parts[0]
-    for part in parts[1:]:
-        found = found.union(part)
+    none = T.StructType([wanted.schema["item"], T.StructField("key", T.LongType()), T.StructField("score", T.LongType())])
+    found = docs.sparkSession.createDataFrame([], none)
+    for p in range(passes):
+        for part in _search_block(docs, wanted.where(number == p), key, text, k):
+            found = found.union(part)
     order = Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("key"))
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select(F.col("item").alias(item), "rank", F.col("key").alias(key), "score")

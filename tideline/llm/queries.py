@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tideline.llm import (
-    bpe, chat, embedding_dedup, jaccard, langid, lexical, neighbours, packing, perplexity, quality,
+    alignment, bpe, chat, embedding_dedup, jaccard, langid, lexical, neighbours, packing, perplexity, quality,
     sharding, substring,
 )
 
@@ -100,6 +100,13 @@ def op10_packing(spark, sf_dir):
     return packing.pack(docs, BIN_BYTES, F.octet_length("text"), F.xxhash64("text"))
 
 
+@query
+def op11_alignment(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return alignment.align(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN,
+                           public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @query
 def op12_lexical_search(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
