@@ -181,12 +181,15 @@ def check_tile(entries, chunks):
         assert math.isclose(near[i, j], near[j, i], rel_tol=1e-12) and 0 < near[i, j] <= 1
 
 
-def test_unresolvable_spread_is_undefined():
+def test_smallest_variation_correlates():
+    """Values that differ in the last digit vary: the least is below the greatest."""
     e, a = np.array([0, 0, 0, 4, 4, 4]), np.array([0, 1, 2, 0, 1, 2])
     v = np.array([0.0, 0.0, 0.1, 0.30000000000000004, 0.30000000000000004, 0.3])
     tile = blocks.Tile(PEARSON, diagonal=True)
     tile.add((e, a, v), (e, a, v))
-    assert np.isnan(blocks.similarities(tile, PEARSON)[0]).all()
+    sim, n = blocks.similarities(tile, PEARSON)
+    assert np.isnan(np.diag(sim)).all() and n[0, 1] == 3
+    assert sim[0, 1] == pytest.approx(-1) and sim[1, 0] == pytest.approx(-1)
 
 
 def test_block_plan_bounds():
