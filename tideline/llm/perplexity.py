@@ -174,7 +174,7 @@ def _mask(size: int) -> int:
 def _discounts(level: DataFrame) -> DataFrame:
     """(language, d1, d2, d3) of the counts of one size."""
     having = [F.sum(F.when(F.col("c") == i, 1).otherwise(0)).cast("double").alias(f"n{i}") for i in range(1, 5)]
-    y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
+    y = F.try_divide(F.col("n1"), F.col("n1") + 2 * F.col("n2"))
     found = level.groupBy("language").agg(*having)
     # Division by zero gives NULL under try_divide, and so do too few counts.
     for i in (1, 2, 3):
@@ -203,10 +203,12 @@ def fit(counts: DataFrame) -> DataFrame:
     for size in range(1, ORDER + 1):
         level = levels[size]
         discount = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
+        # Written, so that Spark knows that it is small and needn't deal the n-grams by language.
+        discounts = materialise(_discounts(level), f"discounts-{size}")
         # A context has at most 256 followers.
         beside = Window.partitionBy("language", "context")
         rows = (
-            level.join(_discounts(level), F.col("language") == F.col("of"))
+            level.join(discounts, F.col("language") == F.col("of"))
             .select("language", "gram", "c", discount.alias("d"), F.shiftright("gram", BITS).alias("context"))
             .select("language", "gram", "context", (F.col("c") - F.col("d")).alias("rest"),
                     F.sum("c").over(beside).alias("all"), F.sum("d").over(beside).alias("taken"))
