@@ -52,6 +52,7 @@ PLANS = {
     "one_block": blocks.BlockPlan(1, 1, 1, 1),
     "many_blocks": blocks.BlockPlan(5, 4, 1, 3, shift=2.5),
     "dealt_axis": blocks.BlockPlan(2, 4, 3, 5, shift=2.5),
+    "routed": blocks.BlockPlan(9, 8, 1, 3, shift=2.5),
 }
 
 
@@ -62,6 +63,9 @@ def plan(request, monkeypatch):
         return chosen if centre else replace(chosen, shift=0.0)
 
     monkeypatch.setattr(S, "measure_entries", fixed)
+    if request.param == "routed":
+        monkeypatch.setattr(blocks, "ENTITY_BLOCK", 7)
+        monkeypatch.setattr(blocks, "AXIS_BLOCK", 5)
     return request.param
 
 
@@ -95,6 +99,13 @@ def test_nearest_profile_and_threshold(spark, plan):
         assert r.n_similar == len(sims)
         assert math.isclose(r.mean_sim, sum(sims) / len(sims), abs_tol=1e-8)
         assert math.isclose(r.max_sim, max(sims), abs_tol=1e-8)
+    profile = {r.user_id: r for r in S.user_similarity_profile(df, "euclidean", min_sim=0.4).collect()}
+    for user, others in by_user.items():
+        sims = [-s for s, _ in others if -s >= 0.4]
+        assert (user in profile) == bool(sims)
+        if sims:
+            assert profile[user].n_similar == len(sims)
+            assert math.isclose(profile[user].mean_sim, sum(sims) / len(sims), abs_tol=1e-8)
 
 
 def test_items(spark, plan):
