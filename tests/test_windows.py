@@ -1,12 +1,14 @@
 """Windows on tables, and the same on streams."""
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from tideline.functions.parsing import parse_int, tokenize
 from tideline.operators.aggregates import int_average, word_count
 from tideline.streaming import runtime, windows
-from tideline.streaming.retained import retained_session, sliding_word_count_retained
+from tideline.streaming.intervals import streaming_average_reported
+from tideline.streaming.retained import PaneCounts, retained_session, sliding_word_count_retained
 
 MESSAGES = "value STRING, timestamp TIMESTAMP"
 
@@ -170,3 +172,91 @@ def test_retained_totals_after_a_long_jump(spark, tmp_path):
     got = runtime.drain_appends(sliding_word_count_retained(words, "0 seconds", "20 seconds", "1 second"), "test-jump")
     found = dict(seconds(got.where("word = 'a'"), "window_end", "cnt"))
     assert found == {e: sum(1 for i in range(0, 40, 3) if e - 20 <= i < e) for e in range(1, 3001)}
+
+
+def test_stream_panes_are_the_table_windows(spark, tmp_path):
+    batches = [[("a b a", 0), ("a", 33)], [("c", 1), ("b", 2)], [("a", 90), ("c", 3)], [("z", 500)]]
+    words = tokenize(stream_of(retained_session(spark), tmp_path / "in", batches))
+    counts = sliding_word_count_retained(words, "200 seconds", "20 seconds", "5 seconds", keep_expired=False)
+    got = runtime.drain_appends(counts, "test-panes")
+    table = windows.sliding_word_count(
+        tokenize(stamped(spark, [r for b in batches for r in b])), "20 seconds", "5 seconds")
+    columns = ("window_end", "word", "cnt")
+    assert seconds(got, *columns) == [r for r in seconds(table, *columns) if r[0] <= 300]
+
+
+class Handle:
+    """What a stateful processor asks of its handle, for one key."""
+
+    def __init__(self):
+        self.value, self.timers = None, []
+
+    def getValueState(self, name, schema):
+        return self
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def clear(self):
+        self.value = None
+
+
+class Clock:
+    def __init__(self, watermark):
+        self.watermark = watermark
+
+    def getCurrentWatermarkInMs(self):
+        return self.watermark
+
+
+def test_state_of_a_word_holds_one_window_of_panes():
+    processor, handle = PaneCounts(120_000, 10_000, keep_expired=False), Handle()
+    processor.init(handle)
+    seen = {}
+    for pane in range(0, 3_000_000, 10_000):
+        if pane % 700_000 < 400_000:  # the word comes and goes
+            processor.handleInputRows(("w",), iter([pd.DataFrame({"pane_ms": [pane], "cnt": [1]})]), None)
+        for frame in processor.handleExpiredTimer(("w",), Clock(pane + 10_000), None):
+            seen.update(zip(frame["window_end"].astype("int64"), frame["cnt"]))
+        assert handle.value is None or len(handle.value[1]) <= 12
+    assert min(seen.values()) == 1 and max(seen.values()) == 12
+    assert handle.value is None or handle.value[1]
+
+
+def test_stream_reports_empty_intervals(spark, tmp_path):
+    own = retained_session(spark)
+    batches = [[("3", 95), ("4", 7)], [("10", 12)], [("-7", 31)], [("1", 14), ("5", 300)]]
+    stream = parse_int(stream_of(own, tmp_path / "in", batches))
+    reported = streaming_average_reported(stream, "200 seconds")
+    got = runtime.drain_appends(reported, "test-reported")
+    table = windows.streaming_average(parse_int(stamped(spark, [r for b in batches for r in b])), "10 seconds")
+    columns = ("window_start", "n", "total", "avg_int", "avg")
+    # The watermark ends at 100: ten intervals from the first, six without input.
+    assert seconds(got, *columns) == [r for r in seconds(table, *columns) if r[0] < 100]
+    assert [r[1] for r in seconds(got, *columns)] == [1, 2, 0, 1, 0, 0, 0, 0, 0, 1]
+
+
+def test_silence_before_the_next_input_is_reported(spark, tmp_path):
+    own, source, checkpoint = retained_session(spark), tmp_path / "in", str(tmp_path / "checkpoint")
+
+    def run():
+        stream = parse_int(own.readStream.schema(MESSAGES).option("maxFilesPerTrigger", 1).option(
+            "recursiveFileLookup", "true").parquet(str(source)))
+        writer = streaming_average_reported(stream, "0 seconds").writeStream.format("parquet").option(
+            "path", str(tmp_path / "out"))
+        runtime.start_query(writer, checkpoint)
+        return seconds(spark.read.parquet(str(tmp_path / "out")), "window_start", "n")
+
+    stamped(spark, [("1", 0), ("1", 3), ("2", 45)]).coalesce(1).write.parquet(f"{source}/part0")
+    assert run() == [(0, 2), (10, 0), (20, 0), (30, 0)]
+    stamped(spark, [("2", 70)]).coalesce(1).write.parquet(f"{source}/part1")
+    assert run() == [(0, 2), (10, 0), (20, 0), (30, 0), (40, 1), (50, 0), (60, 0)]

@@ -19,7 +19,7 @@ from tideline.plans import tables as T
 from tideline.session import shared_dir
 from tideline.sinks import text as sinks
 from tideline.sources import files, streams
-from tideline.streaming import retained, runtime, scoring, windows
+from tideline.streaming import intervals, retained, runtime, scoring, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -236,6 +236,25 @@ def w01s_average_stream(spark, sf_dir):
     return _clock(latest.withColumn("avg", _rounded("avg")))
 
 
+def _until(length: str, last: Column, lateness: int) -> Column:
+    """When a closing event brings the watermark just past ``length`` after the last pane's start."""
+    return last + F.expr(f"INTERVAL {length}") + F.make_interval(secs=F.lit(lateness + 1))
+
+
+@query
+def w01s_intervals_stream(spark, sf_dir):
+    # The replay is bounded, as below; the closing event has no number.
+    lateness = T.event_span(spark, sf_dir)
+    last = F.timestamp_seconds((F.unix_timestamp(F.max("ts").cast("timestamp")) / 600).cast("bigint") * 600)
+    own = retained.retained_session(spark)
+    events = T.event_stream(own, sf_dir, _until("10 minutes", last, lateness))
+    numbers = events.select(
+        F.when(F.col("event_type") != T.CLOSING, F.floor("value")).cast("int").alias("number"),
+        F.col("ts").alias("timestamp"))
+    averages = intervals.streaming_average_reported(numbers, f"{lateness} seconds", "10 minutes")
+    return _clock(runtime.drain_appends(averages, "w01s-intervals").withColumn("avg", _rounded("avg")))
+
+
 @query
 def w02_sliding_words(spark, sf_dir):
     return _clock(windows.sliding_word_count(_words(T.table(spark, sf_dir, "events"))))
@@ -258,14 +277,22 @@ def w02z_retained_stream(spark, sf_dir):
     # The replay is bounded: no event is later than the whole span, and a closing event
     # brings the watermark to the end of the last window.
     lateness = T.event_span(spark, sf_dir)
-    last_pane = F.date_trunc("hour", F.max("ts"))
-    closing = last_pane + F.make_interval(hours=F.lit(12), secs=F.lit(lateness + 1))
+    closing = _until("12 hours", F.date_trunc("hour", F.max("ts")), lateness)
     own = retained.retained_session(spark)
     words = _words(T.event_stream(own, sf_dir, closing))
     counts = retained.sliding_word_count_retained(words, f"{lateness} seconds", "12 hours", HOUR)
     return _clock(runtime.drain_appends(counts, "w02z")).where(F.col("word") != T.CLOSING)
 
 
+@query
+def w02s_panes_stream(spark, sf_dir):
+    lateness = T.event_span(spark, sf_dir)
+    own = retained.retained_session(spark)
+    words = _words(T.event_stream(own, sf_dir, _until("2 minutes", F.max("ts"), lateness)))
+    counts = retained.sliding_word_count_retained(words, f"{lateness} seconds", keep_expired=False)
+    return _clock(runtime.drain_appends(counts, "w02s-panes")).where(F.col("word") != T.CLOSING)
+
+
 # --- models -----------------------------------------------------------------------
 
 def _lineitem(spark, sf_dir):
@@ -364,6 +391,23 @@ def m09_tree_stream(spark, sf_dir):
         F.count(F.lit(1)).alias("n"))
 
 
+@query
+def m09_classifier_stream(spark, sf_dir):
+    model = _status_tree(T.status_rows(_lineitem(spark, sf_dir)))
+    lines = T.untidy_lines(T.lineitem_stream(spark, sf_dir), T.status_index())
+    scored = runtime.drain_appends(scoring.score_stream(model, lines, "libsvm"), "m09-classifier")
+    return scored.groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def m09_keyed_stream(spark, sf_dir):
+    rows = T.flight_rows(spark, sf_dir)
+    model = _flight_tree(rows.drop("id"))
+    lines = streams.stream_lines(spark, path=T.written_lines(T.flight_lines(rows), "flight-lines"))
+    scored = runtime.drain_appends(scoring.score_stream(model, lines, "keyed_csv"), "m09-keyed")
+    return scored.select("id", _rounded("prediction", 4))
+
+
 @query
 def m10_pca(spark, sf_dir):
     return X.pca(T.embedding_rows(spark, sf_dir), 10).select(
@@ -422,6 +466,12 @@ def c03_threshold(spark, sf_dir):
     return near.withColumn("sim", _rounded("sim"))
 
 
+@query
+def c03_threshold_profile(spark, sf_dir):
+    profile = S.user_similarity_profile(T.ratings(spark, sf_dir), "pearson", min_sim=0.1)
+    return profile.select("user_id", "n_similar", _rounded("mean_sim"), _rounded("min_sim"), _rounded("max_sim"))
+
+
 @query
 def c04_nearest_n(spark, sf_dir):
     near = S.neighbours(T.ratings(spark, sf_dir), "euclidean", n=2)

@@ -44,11 +44,6 @@ EVENT_WORDS = """SELECT event_id, ts, unnest(string_split(concat(event_type, ' '
   FROM events"""
 
 
-def _digit(place: int, seed: int) -> str:
-    once = f"(((event_id % 2147483648) * 1103515245 + {place} * 12345 + {seed}) % 2147483648)"
-    return f"((({once} * 1103515245 + 12345) % 2147483648) // 65536) % 10"
-
-
 # --- ratings ------------------------------------------------------------------------
 
 RATINGS = f"""r AS (SELECT user_id, item_id, round(avg(value), 6) AS pref FROM
@@ -86,10 +81,10 @@ ITEM_RECS = """recs AS (SELECT * FROM (SELECT *, row_number() OVER
       GROUP BY ALL)) WHERE rnk <= 10)"""
 
 
-def _profile(sims: str) -> str:
+def _profile(sims: str, where: str = "") -> str:
     return f"""WITH {RATINGS}, {sims} SELECT u AS user_id, count(*) AS n_similar,
       round(avg(sim), 6) AS mean_sim, round(min(sim), 6) AS min_sim, round(max(sim), 6) AS max_sim
-      FROM sims GROUP BY u"""
+      FROM sims {where} GROUP BY u"""
 
 
 def _user_top(where: str = "") -> str:
@@ -235,10 +230,13 @@ ORACLES: dict[str, str] = {
     "a07s_counts_stream": f"""SELECT {_window('ws', '10 minutes')}, {REPORT} FROM (
       SELECT time_bucket(INTERVAL '10 minutes', ts) AS ws, count(*) AS n FROM events GROUP BY 1)""",
     "w01_batch_average": _gridded("10 minutes", SUM_INT, AVERAGES),
+    "w01s_intervals_stream": _gridded("10 minutes", SUM_INT, AVERAGES),
     "w01s_average_stream": f"""SELECT {_window('ws', '1 hour')}, {AVERAGES} FROM (
       SELECT time_bucket(INTERVAL '1 hour', ts) AS ws, {SUM_INT} FROM events GROUP BY 1)""",
     "w02_sliding_words": f"""WITH {_sliding('2 minutes', '10 seconds', 12)}
       SELECT {_window('ws', '2 minutes')}, word, cnt FROM counts""",
+    "w02s_panes_stream": f"""WITH {_sliding('2 minutes', '10 seconds', 12)}
+      SELECT {_window('ws', '2 minutes')}, word, cnt FROM counts""",
     "w02_zero_retained": f"""WITH {_sliding('12 hours', '1 hour', 12)},
       {SPANS} SELECT {_window('s.ws', '12 hours')}, s.word, coalesce(c.cnt, 0) AS cnt
       FROM spans s LEFT JOIN counts c ON c.word = s.word AND c.ws = s.ws""",
@@ -263,6 +261,11 @@ ORACLES: dict[str, str] = {
     "m07_keyed_score": f"""WITH {grow(FLIGHT_BASE, 9, 5, (6, 7, 8))}
       SELECT id, round(mean, 4) AS prediction FROM leafed JOIN nodes USING (node)""",
     "m09_tree_stream": f"WITH {_tree('l_extendedprice')} {_leaf_counts(copies=2)}",
+    "m09_classifier_stream": f"""WITH {_tree(STATUS_INDEX)} SELECT y AS label,
+      CAST({MAJORITY} AS DOUBLE) AS prediction, CAST(2 * count(*) AS BIGINT) AS n
+      FROM leafed JOIN nodes USING (node) GROUP BY ALL""",
+    "m09_keyed_stream": f"""WITH {grow(FLIGHT_BASE, 9, 5, (6, 7, 8))}
+      SELECT id, round(mean, 4) AS prediction FROM leafed JOIN nodes USING (node)""",
     "m10_pca": _pca(10),
     "m11_covariance": """WITH e AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) - 1 AS i
         FROM embeddings)
@@ -280,6 +283,7 @@ ORACLES: dict[str, str] = {
     "c02_euclidean": _profile(EUCLIDEAN),
     "c03_threshold": f"""WITH {RATINGS}, {PEARSON} SELECT u AS user_id, v AS other_user_id, round(sim, 6) AS sim, n
       FROM sims WHERE sim >= 0.1""",
+    "c03_threshold_profile": _profile(PEARSON, "WHERE sim >= 0.1"),
     "c04_nearest_n": f"""WITH {RATINGS}, {EUCLIDEAN}, {NEAREST} SELECT u AS user_id, v AS other_user_id,
       round(sim, 6) AS sim, n, CAST(rnk AS INTEGER) AS rank FROM near""",
     "c05_estimate": f"""WITH {RATINGS}, {EUCLIDEAN}, {NEAREST}, {ESTIMATES}

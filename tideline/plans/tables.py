@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tideline.session import materialise, shared_dir
@@ -132,22 +132,27 @@ def price_rows(lineitem: DataFrame) -> DataFrame:
     return tree_rows(lineitem, F.col("l_extendedprice"))
 
 
+def status_index() -> Column:
+    return index_of("l_linestatus", LINE_STATUSES)
+
+
 def status_rows(lineitem: DataFrame) -> DataFrame:
-    return tree_rows(lineitem, index_of("l_linestatus", LINE_STATUSES))
+    return tree_rows(lineitem, status_index())
 
 
-def libsvm_lines(lineitem: DataFrame) -> DataFrame:
-    """``price 1:quantity 2:discount 3:tax``; zero features are left out, as LIBSVM does."""
+def libsvm_lines(lineitem: DataFrame, label: Column | None = None) -> DataFrame:
+    """``price 1:quantity 2:discount 3:tax``, or another label; zero features are left out, as LIBSVM does."""
+    target = money("l_extendedprice") if label is None else label.cast("string")
     def item(place: int, column: str) -> Column:
         return F.when(F.col(column) != 0, F.concat(F.lit(f"{place}:"), money(column)))
 
     return lineitem.select(
-        F.concat_ws(" ", money("l_extendedprice"), item(1, "l_quantity"), item(2, "l_discount"),
+        F.concat_ws(" ", target, item(1, "l_quantity"), item(2, "l_discount"),
                     item(3, "l_tax")).alias("value")
     )
 
 
-def untidy_lines(lineitem: DataFrame) -> DataFrame:
+def untidy_lines(lineitem: DataFrame, label: Column | None = None) -> DataFrame:
     """The LIBSVM lines with indents, double spaces, comments and blank lines mixed in."""
     text = F.col("value")
     variants = F.array(
@@ -156,7 +161,7 @@ def untidy_lines(lineitem: DataFrame) -> DataFrame:
         F.lit("   "),
         F.regexp_replace(text, " 2:", "  2:"),
     )
-    return libsvm_lines(lineitem).select(F.explode(variants).alias("value"))
+    return libsvm_lines(lineitem, label).select(F.explode(variants).alias("value"))
 
 
 FLIGHT_WIDTH = 9
@@ -198,6 +203,12 @@ def flight_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialise(rows, "flights")
 
 
+def flight_lines(rows: DataFrame) -> DataFrame:
+    """Keyed rows as ``id,f0,...,f8`` text."""
+    slots = F.transform(vector_to_array("features"), lambda v: v.cast("string"))
+    return rows.select(F.concat_ws(",", F.col("id"), slots).alias("value"))
+
+
 def embedding_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "embeddings").select(
         "vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("features")
