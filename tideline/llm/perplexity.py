@@ -417,7 +417,8 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     """
     model = materialise(fit(count_grams(docs, text, lang)), "model")
     scored = materialise(score(docs, model, text, lang, key), "scores")
-    limits = bands(scored).withColumnRenamed("language_", "of")
+    # Written, as the discounts are: the join needn't deal the documents by language.
+    limits = materialise(bands(scored).withColumnRenamed("language_", "of"), "bands")
     deviation = F.sqrt(F.col("fixed") + F.try_divide("by_length", "n_bytes"))
     judged = scored.join(limits, F.col("language_") == F.col("of"), "left").select(
         key, *FIGURES, _rate().alias("bits_per_byte"), (F.col("median") - below * deviation).alias("low"),
