@@ -2,6 +2,7 @@ import math
 
 import pytest
 
+from tideline.operators import recommend
 from tideline.operators.recommend import estimate, recommend_items, recommend_users, users
 from tideline.operators.similarity import item_similarity, neighbours, user_similarity
 from tideline.sinks.text import write_recs
@@ -126,3 +127,25 @@ def test_repeated_ratings_count_once_in_every_plan(spark, small_ratings, metric)
     assert all(abs(got[k] - expected[k]) < 1e-9 for k in got)
     single = {(r["user_id"], r["other_user_id"]): r["n"] for r in user_similarity(small_ratings, metric).collect()}
     assert all(single[a, b] == n for a, b, n in got)
+
+
+def test_a_hot_item_is_joined_in_slices(spark, monkeypatch):
+    rows = [(u, 1, 1.0) for u in range(600)] + [(u, 2 + u % 40, 1.0) for u in range(1200)]
+    seen = spark.createDataFrame(rows, "user_id BIGINT, item_id BIGINT, pref DOUBLE").select("user_id", "item_id")
+    similar = item_similarity(spark.createDataFrame(rows, "user_id BIGINT, item_id BIGINT, pref DOUBLE"), 5)
+    whole = {(r["user_id"], r["item_id"]): r["score"] for r in recommend.item_scores(seen, similar).collect()}
+    monkeypatch.setattr(recommend, "SLICE_USERS", 50)
+    monkeypatch.setattr(recommend, "MOST_HOT", 100)
+    assert [tuple(r) for r in recommend.hot_items(seen).collect()] == [(1, 12)]
+    parts = recommend.sliced_join(seen, similar).groupBy("item_id", "slice").agg(
+        recommend.F.countDistinct("user_id").alias("users")).collect()
+    assert len([r for r in parts if r["item_id"] == 1]) == 12
+    assert max(r["users"] for r in parts) <= 2 * 50
+    assert {(r["user_id"], r["item_id"]): r["score"] for r in recommend.item_scores(seen, similar).collect()} == whole
+
+
+def test_hot_items_are_few(spark, monkeypatch):
+    seen = spark.range(5000).selectExpr("id user_id", "id % 100 item_id")
+    monkeypatch.setattr(recommend, "SLICE_USERS", 1)
+    monkeypatch.setattr(recommend, "MOST_HOT", 10)
+    assert recommend.hot_items(seen).count() == 0  # each of the hundred has a hundredth of all rows

@@ -132,40 +132,41 @@ def to_vector(df: DataFrame, width: int) -> DataFrame:
 
     Indices must increase strictly from 0 to at most ``width`` - 1, whatever the
     width; else it is an error. Narrow vectors are filled slot by slot. Wide ones
-    are sparse: the vector type is stored as a struct, and reading that struct
-    through ``from_json`` keeps the assembly on the JVM without widening the row.
+    are sparse: the vector type is stored as a struct of type, size, indices and values, and
+    batches of that struct are handed over, as they are, to a schema that names the type.
     """
     kept = [c for c in df.columns if c not in ("indices", "values")]
     df = df.withColumn("indices", _checked_indices(width))
     if width <= DENSE_WIDTH:
         return df.select(*kept, array_to_vector(_filled_slots(width)).alias("features"))
     stored = F.struct(
-        F.struct(
-            F.lit(SPARSE_KIND).cast("tinyint").alias("type"),
-            F.lit(width).cast("int").alias("size"),
-            F.col("indices"),
-            F.col("values"),
-        ).alias("v")
+        F.lit(SPARSE_KIND).cast("tinyint").alias("type"),
+        F.lit(width).cast("int").alias("size"),
+        F.col("indices"),
+        F.col("values"),
     )
-    schema = StructType([StructField("v", VectorUDT())])
-    return df.select(*kept, F.from_json(F.to_json(stored), schema)["v"].alias("features"))
+    rows = df.select(*kept, stored.alias("features"))
+    typed = StructType([*rows.drop("features").schema.fields, StructField("features", VectorUDT())])
+    return rows.mapInArrow(lambda batches: batches, typed)
 
 
 def _checked_indices(width: int) -> Column:
     """The indices, if each is larger than the one before (the first than -1) and below the width."""
-    last = F.aggregate("indices", F.lit(-1), lambda before, i: F.when(i > before, i))
-    fits = F.coalesce((last < width) & (F.size("indices") == F.size("values")), F.lit(False))
+    i = F.col("indices")
+    increasing = i == F.array_distinct(F.sort_array(i))
+    inside = (F.size(i) == 0) | ((F.try_element_at(i, F.lit(1)) >= 0) & (F.try_element_at(i, F.lit(-1)) < width))
+    fits = F.coalesce(increasing & inside & (F.size(i) == F.size("values")), F.lit(False))
     message = F.lit(f"feature indices must increase strictly from 0 to {width - 1}")
-    return F.when(fits, F.col("indices")).otherwise(F.raise_error(message).cast("array<int>"))
+    return F.when(fits, i).otherwise(F.raise_error(message).cast("array<int>"))
 
 
 def _filled_slots(width: int) -> Column:
     """Values by slot."""
-    def slot(i: Column) -> Column:
+    def slot(i: int) -> Column:
         place = F.nullif(F.array_position("indices", i).cast("int"), F.lit(0))
         return F.coalesce(F.try_element_at("values", place), F.lit(0.0))
 
-    return F.transform(F.sequence(F.lit(0), F.lit(width - 1)), slot)
+    return F.array(*[slot(i) for i in range(width)])
 
 
 def parse_int(df: DataFrame, line: str = "value", strict: bool = True) -> DataFrame:

@@ -12,6 +12,8 @@ from tideline.operators.similarity import (
 )
 from tideline.session import materialise
 
+SLICE_USERS = 100_000  # users of an item that one slice of it holds, about
+MOST_HOT = 10_000      # items that may be cut into slices; the size of a slice follows from it
 MIN_NEIGHBOURS = 2  # an estimate resting on a single neighbour is not given
 
 
@@ -84,12 +86,41 @@ def recommend_users(ratings: DataFrame, k: int = 3, metric: str = "euclidean", n
     return top_items(estimate(ratings, near, users), k)
 
 
+def hot_items(seen: DataFrame) -> DataFrame:
+    """(item_id, slices) of items with too many users for one task; ``MOST_HOT`` rows at most.
+
+    An item is hot above ``SLICE_USERS`` users, and above the ``MOST_HOT``-th part of all rows: no more
+    than that many items can have so many.
+    """
+    counts = seen.groupBy("item_id").agg(F.count(F.lit(1)).alias("users"))
+    total = seen.agg(F.count(F.lit(1))).scalar()
+    room = F.greatest(F.lit(SLICE_USERS), F.ceil(total / MOST_HOT))
+    return counts.where(F.col("users") > room).select("item_id", F.ceil(F.col("users") / room).cast("int").alias("slices"))
+
+
+def _in_slices(rows: DataFrame, hot: DataFrame) -> DataFrame:
+    return rows.join(F.broadcast(hot), "item_id", "left").withColumn("slices", F.coalesce("slices", F.lit(1)))
+
+
+def sliced_join(seen: DataFrame, similar: DataFrame) -> DataFrame:
+    """(user_id, item_id, other_item_id, sim, slice): each seen item with its similar ones.
+
+    A hot item's users are dealt to slices, and its (few) similar items are copied to each.
+    """
+    hot = materialise(hot_items(seen), "hot-items")
+    users = _in_slices(seen.select("user_id", "item_id"), hot).select(
+        "user_id", "item_id", F.pmod(F.xxhash64("user_id"), "slices").cast("int").alias("slice"))
+    others = _in_slices(similar.select("item_id", "other_item_id", "sim"), hot).select(
+        "item_id", "other_item_id", "sim", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"))
+    return users.join(others, ["item_id", "slice"])
+
+
 def item_scores(seen: DataFrame, similar: DataFrame) -> DataFrame:
     """(user_id, item_id, score): summed similarity of an unseen item to the user's items.
 
     ``seen`` holds each user and item together once.
     """
-    parts = seen.join(similar.select("item_id", "other_item_id", "sim"), "item_id").select(
+    parts = sliced_join(seen, similar).select(
         "user_id", F.col("other_item_id").alias("item_id"), "sim", F.lit(False).alias("seen")
     )
     return (
