@@ -118,6 +118,54 @@ def test_pca_invariants(spark):
         matrix.pca(df, 21)
 
 
+@pytest.fixture
+def wide(spark):
+    """A matrix of 700 columns with a few strong directions, and its rows as an array."""
+    rng = np.random.default_rng(6)
+    data = rng.standard_normal((300, 6)) * [9, 7, 5, 4, 3, 2] @ rng.standard_normal((6, 700)) + rng.standard_normal((300, 700))
+    df = spark.createDataFrame([(row.tolist(),) for row in data], "v ARRAY<DOUBLE>").select(
+        array_to_vector("v").alias("features"))
+    return df.repartition(5), data
+
+
+def test_covariance_of_many_blocks(wide, monkeypatch):
+    df, data = wide
+    expected = np.cov(data.T)
+    for budget in (matrix.TASK_BYTES, 2 << 20):  # all tiles at once, and in several groups
+        monkeypatch.setattr(matrix, "TASK_BYTES", budget)
+        got = matrix.covariance(df).toPandas()
+        assert len(got) == 700 * 701 // 2
+        assert np.allclose(got["cov"], expected[got["i"], got["j"]], atol=1e-9)
+
+
+def test_components_of_a_wide_matrix(wide, monkeypatch):
+    df, data = wide
+    cov = np.cov(data.T)
+    values, vectors = np.linalg.eigh(cov)
+    for most in (12, 2):  # one growing basis, and bases begun anew
+        monkeypatch.setattr(matrix, "MOST_BASES", most)
+        rows = matrix.pca(df, 5).toPandas()
+        for c in range(5):
+            mine = rows[rows["component"] == c].sort_values("feature")["loading"].to_numpy()
+            assert abs(abs(mine @ vectors[:, -1 - c]) - 1) < 1e-9
+            explained = rows[rows["component"] == c]["explained"].iloc[0]
+            assert abs(explained - values[-1 - c] / np.trace(cov)) < 1e-9
+
+
+def test_two_thousand_columns(spark):
+    """The size the covariance is meant for, without an object of its size in the driver."""
+    df = gamma_matrix(spark, 2000, 2000, seed=2)
+    rows = matrix.pca(df, 3).toPandas()
+    assert len(rows) == 6000 and (rows.groupby("component")["loading"].apply(lambda v: abs((v ** 2).sum() - 1)) < 1e-9).all()
+    pieces, width = matrix.covariance_pieces(df)
+    assert width == 2000 and pieces.count() == sum(8 - i // matrix.COLUMN_BLOCK for i in range(2000))
+
+
+def test_one_row_has_no_covariance(spark):
+    with pytest.raises(ValueError):
+        matrix.covariance(gamma_matrix(spark, 1, 3))
+
+
 def test_gamma_matrix_is_replayable(spark):
     one = {r.id: r.features for r in gamma_matrix(spark, 50, 4, seed=3).collect()}
     two = {r.id: r.features for r in gamma_matrix(spark, 50, 4, seed=3).repartition(7).collect()}

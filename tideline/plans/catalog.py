@@ -411,7 +411,7 @@ def m09_keyed_stream(spark, sf_dir):
 @query
 def m10_pca(spark, sf_dir):
     return X.pca(T.embedding_rows(spark, sf_dir), 10).select(
-        "component", "feature", (F.round("loading", 4) + F.lit(0.0)).alias("loading"), _rounded("explained", 4))
+        "component", "feature", (F.round("loading", 6) + F.lit(0.0)).alias("loading"), _rounded("explained"))
 
 
 @query
@@ -439,7 +439,7 @@ def e02_error_rate(spark, sf_dir):
 def e03_mse(spark, sf_dir):
     rows = T.price_rows(_lineitem(spark, sf_dir))
     train, test = prep.split_hash(rows, "l_orderkey", [0.8, 0.2])
-    return E.mean_squared_error(M.score(_price_tree(train), test)).select("n", _rounded("mse", 0))
+    return E.mean_squared_error(M.score(_price_tree(train), test)).select("n", _rounded("mse", 2))
 
 
 # --- recommendations --------------------------------------------------------------

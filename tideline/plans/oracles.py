@@ -188,8 +188,8 @@ def _pca(k: int, squarings: int = 16) -> str:
         steps.append(f"""m{c + 1} AS MATERIALIZED (SELECT m.i, m.j, m.v - l * a.v * b.v AS v
       FROM m{c} m JOIN v{c} a ON a.i = m.i JOIN v{c} b ON b.i = m.j, l{c})""")
     rows = " UNION ALL ".join(
-        f"""SELECT {c}::INTEGER AS component, i::INTEGER AS feature, round(v, 4) + 0.0::DOUBLE AS loading,
-      round(l / (SELECT sum(v) FROM m0 WHERE i = j), 4) AS explained FROM v{c}, l{c}""" for c in range(k))
+        f"""SELECT {c}::INTEGER AS component, i::INTEGER AS feature, round(v, 6) + 0.0::DOUBLE AS loading,
+      round(l / (SELECT sum(v) FROM m0 WHERE i = j), 6) AS explained FROM v{c}, l{c}""" for c in range(k))
     return f"WITH {', '.join(steps)} {rows}"
 
 
@@ -278,7 +278,7 @@ ORACLES: dict[str, str] = {
       round(avg(CASE WHEN y <> {MAJORITY} THEN 1.0 ELSE 0.0 END), 6) AS error_rate
       FROM leafed JOIN nodes USING (node) WHERE NOT train""",
     "e03_mse": f"""WITH {_tree('l_extendedprice', train=_bucket('l_orderkey') + ' < 800')} SELECT count(*) AS n,
-      round(avg((mean - y) * (mean - y)), 0) AS mse FROM leafed JOIN nodes USING (node) WHERE NOT train""",
+      round(avg((mean - y) * (mean - y)), 2) AS mse FROM leafed JOIN nodes USING (node) WHERE NOT train""",
     "c01_pearson": _profile(PEARSON),
     "c02_euclidean": _profile(EUCLIDEAN),
     "c03_threshold": f"""WITH {RATINGS}, {PEARSON} SELECT u AS user_id, v AS other_user_id, round(sim, 6) AS sim, n
