@@ -27,7 +27,11 @@ def hash_bucket(key: Column, salt: int = 0) -> Column:
 
 
 def split_hash(df: DataFrame, key: str, weights: Sequence[float], salt: int = 0) -> list[DataFrame]:
-    """Split by a hash of ``key``: stable under repartitioning and repeatable in SQL."""
+    """Split by a hash of ``key``: stable under repartitioning and repeatable in SQL.
+
+    Keys fall into ``HASH_BUCKETS`` buckets, so shares are met to 1/1000: a smaller share is rounded,
+    and one below half of that gets no rows.
+    """
     total = float(sum(weights))
     bucket = hash_bucket(F.col(key), salt)
     parts, low, running = [], 0, 0.0

@@ -19,7 +19,7 @@ from tideline.plans import tables as T
 from tideline.session import shared_dir
 from tideline.sinks import text as sinks
 from tideline.sources import files, streams
-from tideline.streaming import intervals, retained, runtime, scoring, windows
+from tideline.streaming import intervals, retained, runtime, scoring, stored, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -320,6 +320,16 @@ def m08_nb_stream(spark, sf_dir):
     return scored.groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query
+def m08_stored_model(spark, sf_dir):
+    # Trained and stored here, loaded and applied in another session.
+    store, out = shared_dir(spark, "m08-store"), shared_dir(spark, "m08-scored")
+    stored.store_model(spark, M.train_nb(T.nb_rows(_lineitem(spark, sf_dir))), "label_space", store)
+    lines = T.nb_lines(T.lineitem_stream(spark.newSession(), sf_dir))
+    stored.score_with_latest(lines, store, out, shared_dir(spark, "m08-checkpoint"))
+    return spark.read.parquet(out).groupBy("label", "prediction", "model_version").agg(F.count(F.lit(1)).alias("n"))
+
+
 def _status_tree(rows, depth=5):
     return M.train_tree(rows, "classifier", max_depth=depth, max_bins=EXACT_BINS)
 

@@ -249,6 +249,8 @@ ORACLES: dict[str, str] = {
       round([t0, t1, t2, t3][f + 1], 6) AS log_prob FROM model, range(4) t(f)""",
     "m06_nb_score": f"WITH {_nb()} SELECT l_orderkey, l_linenumber, label, prediction FROM scored",
     "m08_nb_stream": f"WITH {_nb()} SELECT label, prediction, count(*) AS n FROM scored GROUP BY ALL",
+    "m08_stored_model": f"""WITH {_nb()} SELECT label, prediction, 1 AS model_version, count(*) AS n
+      FROM scored GROUP BY ALL""",
     "m02_tree_classifier": f"""WITH {_tree(STATUS_INDEX)} SELECT y AS label,
       CAST({MAJORITY} AS DOUBLE) AS prediction, count(*) AS n FROM leafed JOIN nodes USING (node) GROUP BY ALL""",
     "m02_root_split": _root(STATUS_INDEX),

@@ -11,6 +11,7 @@ from tideline.functions.parsing import (
 from tideline.operators.models import score
 
 PARSERS = {"label_space": parse_label_space, "keyed_csv": parse_keyed_csv}
+FORMS = [*PARSERS, "libsvm"]
 
 
 def score_stream(model: Model, lines: DataFrame, form: str) -> DataFrame:
