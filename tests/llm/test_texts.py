@@ -230,3 +230,35 @@ def test_queries_give_the_digest_of_the_kept_text(spark):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near.collect()} == grouped(
         [(r["doc_id"], r["text"]) for r in docs])
     assert got.select(F.sum("n_removed")).first()[0] > 0
+
+
+def test_linked_sets_have_the_common_entries_they_ask_for():
+    rng = np.random.default_rng(12)
+    for size in [*range(1, 40), 60, 150, 700]:
+        for _ in range(6):
+            x = rng.integers(0, 2**63, size).astype(np.uint64)
+            gone, fresh = rng.integers(0, max(1, size // 6) + 1, 2)
+            y = np.concatenate([x[gone:], rng.integers(0, 2**63, fresh).astype(np.uint64)])
+            if not len(y) or 100 * (size - gone) < 75 * (size + fresh):
+                continue
+            member, doc = np.concatenate([x, y]), np.repeat([0, 1], [len(x), len(y)])
+            frequent = np.sort(rng.choice(x, size // 2, replace=False))
+            sig, of, need = jaccard.entries_of(member, doc, np.array([len(x), len(y)]), frequent)
+            common = np.intersect1d(sig[of == 0], sig[of == 1])
+            asked = [int(n) for s, n in zip(sig, need) if s in common]
+            assert asked and len(common) >= min(asked)
+
+
+def test_a_group_of_near_copies_and_a_stranger_in_its_entries(documents, spark):
+    """Texts with a long passage in common: many near copies, and one that only shares the passage."""
+    rng = np.random.default_rng(4)
+    passage = " ".join(f"p{i}" for i in range(60))
+    body = [f"b{i}" for i in range(120)]
+    texts = []
+    for i in range(1500):
+        own = list(body)
+        own[i % 120] = f"changed{i}"
+        texts.append(f"{passage} {' '.join(own)}")
+    texts.append(passage + " " + " ".join(f"s{i}" for i in rng.integers(0, 10**6, 40)))
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.similar(documents(texts)).collect()}
+    assert {got[i] for i in range(1500)} == {0} and got[1500] == 1500

@@ -12,10 +12,13 @@ largest partner lies in the next band is indexed there too. What is indexed is a
 
 * H + 1 of the non-empty segments, in one order for all sets: segments with a rare member
   first, then by hash. Frequent members are found by a count over all documents; they change
-  the cost, never the result.
+  the cost, never the result. A share ``EXTRA`` of H more are indexed beside them: two sets that
+  link then have as many entries in common, and one, so pairs with fewer common entries,
+  such as texts that share a passage, are not compared.
 * A set with H non-empty segments or fewer indexes all of them, and beside each the
   neighbourhood with one member deleted: a segment of several members then bears one
   difference, and only two spoil it.
+  Such a set asks for a single common entry.
 * If that is still not enough (nearly all members in one segment), every member by itself.
 
 Equal sets are one class from the start. Members of an index entry are compared exactly with
@@ -36,6 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tideline.llm.components import components, labels
@@ -46,6 +50,7 @@ from tideline.session import materialise
 N = 5
 PERCENT = 75
 BAND = 4
+EXTRA = 3  # one index entry more for so many that a partner can spoil
 FILL = 1.5  # mean members of a segment for the largest sets of a band
 FREQUENT = 2048  # a member is frequent if one document in so many has it
 MOST_FREQUENT = 1 << 17  # bounds what is sent to every task
@@ -166,17 +171,23 @@ def _band(size: np.ndarray) -> np.ndarray:
     return np.searchsorted(edges, size, side="right")
 
 
-def _distinct_rows(sig: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.lexsort((sig, doc))
-    sig, doc = sig[order], doc[order]
+def _distinct_rows(sig: np.ndarray, doc: np.ndarray, need: np.ndarray) -> tuple[np.ndarray, ...]:
+    order = np.lexsort((need, sig, doc))
+    sig, doc, need = sig[order], doc[order], need[order]
     fresh = np.concatenate([[True], (sig[1:] != sig[:-1]) | (doc[1:] != doc[:-1])])[:len(sig)]
-    return sig[fresh], doc[fresh]
+    return sig[fresh], doc[fresh], need[fresh]
 
 
 def signatures(member: np.ndarray, doc: np.ndarray, size: np.ndarray, frequent: np.ndarray,
                percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
     """(signature, number of the set) of all index entries of the sets of a slice."""
-    sig, of = [], []
+    return entries_of(member, doc, size, frequent, percent)[:2]
+
+
+def entries_of(member: np.ndarray, doc: np.ndarray, size: np.ndarray, frequent: np.ndarray,
+               percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same, and how many entries a partner must have in common with the set."""
+    sig, of, need = [], [], []
     band, partner = _band(size), largest_partner(size, percent)
     rare = np.ones(len(member), bool)
     if len(frequent):
@@ -208,9 +219,13 @@ def signatures(member: np.ndarray, doc: np.ndarray, size: np.ndarray, frequent:
         order = np.lexsort((exact, common, seg_doc))
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order)) - (np.cumsum(filled) - filled)[seg_doc[order]]
-        chosen = rank <= differing[seg_doc]
+        extra = differing // EXTRA
+        chosen = rank <= (differing + extra)[seg_doc]
+        # Each difference spoils a segment at most: this many of the first ones stay in common.
+        common_entries = np.maximum(np.minimum(1 + extra, filled - differing), 1)
         sig.append(exact[chosen])
         of.append(seg_doc[chosen])
+        need.append(common_entries[seg_doc[chosen]])
         short = used & (filled <= differing)
         if short.any():
             near = short[seg_doc]
@@ -224,9 +239,10 @@ def signatures(member: np.ndarray, doc: np.ndarray, size: np.ndarray, frequent:
             single = (short & (weight <= differing))[d]
             sig.append(mix(value[single] ^ _U(2)))
             of.append(d[single])
+            need.extend(np.ones(len(v), np.int64) for v in of[-3:])
     if not sig:
-        return np.zeros(0, _U), np.zeros(0, np.int64)
-    return _distinct_rows(np.concatenate(sig), np.concatenate(of))
+        return np.zeros(0, _U), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return _distinct_rows(np.concatenate(sig), np.concatenate(of), np.concatenate(need))
 
 
 def _index_entries(rows: DataFrame, frequent: np.ndarray, n: int, percent: int) -> DataFrame:
@@ -242,31 +258,34 @@ def _index_entries(rows: DataFrame, frequent: np.ndarray, n: int, percent: int)
                          for h, k in zip(zip(h1.tolist(), h2.tolist(), strict=True), keys.tolist(), strict=True)]
                 size[np.array(again, bool)] = 0
                 take = size[doc] > 0
-                sig, of = signatures(member[take], doc[take], size, frequent, percent)
+                sig, of, need = entries_of(member[take], doc[take], size, frequent, percent)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(sig.view(np.int64)), pa.array(keys[of], pa.int64())], ["sig", "key"])
+                    [pa.array(sig.view(np.int64)), pa.array(keys[of], pa.int64()), pa.array(need, pa.int32())],
+                    ["sig", "key", "need"])
 
-    return rows.mapInArrow(run, "sig long, key long")
+    return rows.mapInArrow(run, "sig long, key long, need int")
 
 
 def _shared(sorted_entries: DataFrame) -> DataFrame:
-    """(sig, key, leader) of entries with several keys, walked in order of (sig, key)."""
-    names = ["sig", "key", "leader"]
+    """(sig, key, need, leader, leader_need) of entries with several keys, walked in order of (sig, key)."""
+    names = ["sig", "key", "need", "leader", "leader_need"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last_sig, last_key, leader, told = None, None, None, False
+        last, leader, told = None, None, False  # last: (sig, key, need); leader: (key, need)
         for batch in batches:
-            sig, key = np.asarray(batch.column(0)), np.asarray(batch.column(1))
-            if last_sig is not None:
-                sig, key = np.concatenate([[last_sig], sig]), np.concatenate([[last_key], key])
+            sig, key, need = (np.asarray(batch.column(i)) for i in range(3))
+            if last is not None:
+                sig, key, need = (np.concatenate([[v], c]) for v, c in zip(last, (sig, key, need), strict=True))
             if not len(sig):
                 continue
             fresh = np.concatenate([[True], sig[1:] != sig[:-1]])
-            lead = key[np.maximum.accumulate(np.where(fresh, np.arange(len(sig)), 0))]
-            if last_sig is not None:
-                lead[:np.append(np.flatnonzero(fresh[1:]) + 1, len(sig))[0]] = leader
+            at = np.maximum.accumulate(np.where(fresh, np.arange(len(sig)), 0))
+            lead, lead_need = key[at], need[at]
+            if last is not None:
+                begun = np.append(np.flatnonzero(fresh[1:]) + 1, len(sig))[0]
+                lead[:begun], lead_need[:begun] = leader
             other = (key != lead) & np.concatenate([[True], (key[1:] != key[:-1]) | fresh[1:]])
-            if last_sig is not None:
+            if last is not None:
                 other[0] = False  # given before, or the leader
             # The leader's own row goes out with the first other key of its run.
             run_of = np.cumsum(fresh) - 1
@@ -276,13 +295,14 @@ def _shared(sorted_entries: DataFrame) -> DataFrame:
             if told:
                 own[0] = False
             at = begins[own]
+            both = lambda first, rest: pa.array(np.concatenate([first[at], rest[other]]))  # noqa: B023,E731
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([sig[at], sig[other]])), pa.array(np.concatenate([lead[at], key[other]])),
-                 pa.array(np.concatenate([lead[at], lead[other]]))], names)
+                [both(sig, sig), both(lead, key), both(lead_need, need).cast(pa.int32()), both(lead, lead),
+                 both(lead_need, lead_need).cast(pa.int32())], names)
             told = bool(many[-1]) or (told and len(begins) == 1)
-            last_sig, last_key, leader = sig[-1], key[-1], lead[-1]
+            last, leader = (sig[-1], key[-1], need[-1]), (lead[-1], lead_need[-1])
 
-    return sorted_entries.mapInArrow(run, "sig long, key long, leader long")
+    return sorted_entries.mapInArrow(run, "sig long, key long, need int, leader long, leader_need int")
 
 
 def _most_shared(a: bytes, b: bytes) -> int | None:
@@ -312,7 +332,23 @@ def _possible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "size_a", "x", "size_b", "y").mapInArrow(run, "a long, b long")
 
 
-PAIRS_AT_ONCE = 256
+def _sets(raw: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(member, number of the text) of texts, made slice by slice."""
+    data, offsets = text_buffers(pa.array(raw, pa.large_binary()).cast(pa.large_string()))
+    parts = [(np.zeros(0, _U), np.zeros(0, np.int64))]
+    for i, j in slices(offsets):
+        member, doc = shingles(data, offsets[i:j + 1], n)
+        parts.append((member, doc + i))
+    member, doc = zip(*parts, strict=True)
+    return np.concatenate(member), np.concatenate(doc)
+
+
+def _byte_slices(column: pa.Array, budget: int) -> Iterator[tuple[int, int]]:
+    """Ranges of a column of compressed texts, of about ``budget`` bytes."""
+    return slices(np.concatenate([[0], np.cumsum(np.asarray(pc.fill_null(pc.binary_length(column), 0)))]), budget)
+
+
+PAIR_BYTES = 1 << 19  # of compressed texts of one side compared at once
 
 
 def _linked(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
@@ -320,17 +356,12 @@ def _linked(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFra
     both = (pairs.join(texts.select(F.col("key").alias("a"), F.col("packed").alias("x")), "a")
             .join(texts.select(F.col("key").alias("b"), F.col("packed").alias("y")), "b").select("a", "b", "x", "y"))
 
-    def sets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        raw = unpack(column.to_pylist())
-        data, offsets = text_buffers(pa.array(raw, pa.large_binary()).cast(pa.large_string()))
-        return shingles(data, offsets, n)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for low in range(0, whole.num_rows, PAIRS_AT_ONCE):
-                batch = whole.slice(low, PAIRS_AT_ONCE)
+            for low, high in _byte_slices(whole.column(2), PAIR_BYTES):
+                batch = whole.slice(low, high - low)
                 rows = batch.num_rows
-                (xm, xd), (ym, yd) = sets(batch.column(2)), sets(batch.column(3))
+                (xm, xd), (ym, yd) = (_sets(unpack(batch.column(i).to_pylist()), n) for i in (2, 3))
                 member, pair = np.concatenate([xm, ym]), np.concatenate([xd, yd])
                 order = np.lexsort((member, pair))
                 m, p = member[order], pair[order]
@@ -338,6 +369,7 @@ def _linked(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFra
                 union = np.bincount(pair, minlength=rows) - inter
                 yes = pa.array((100 * inter >= percent * union) & (union > 0))
                 yield batch.select(["a", "b"]).filter(yes)
+            pa.default_memory_pool().release_unused()
 
     return both.mapInArrow(run, "a long, b long")
 
@@ -357,9 +389,7 @@ def _in_blocks(crowded: DataFrame, texts: DataFrame, n: int, percent: int) -> Da
     def run(table: pa.Table) -> pa.Table:
         key = np.asarray(table.column("key"))
         tie = np.asarray(table.column("key_c"))
-        raw = unpack(table.column("packed").to_pylist())
-        data, offsets = text_buffers(pa.array(raw, pa.large_binary()).cast(pa.large_string()))
-        member, doc = shingles(data, offsets, n)
+        member, doc = _sets(unpack(table.column("packed").to_pylist()), n)
         size = np.bincount(doc, minlength=len(key))
         _, token, count = np.unique(member, return_inverse=True, return_counts=True)
         often = count[token] > 1
@@ -414,8 +444,9 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = N
         return tied.withColumn(f"{name}_c", F.coalesce(f"{name}_c", name))
 
     # The pairs of a key and a leader it meets that may link.
+    least_need = F.min(F.least("need", "leader_need")).alias("need")
     met = shared.where("key <> leader").groupBy(F.col("leader").alias("a"), F.col("key").alias("b")).agg(
-        F.count(F.lit(1)).alias("n"))
+        F.count(F.lit(1)).alias("n"), least_need).where("n >= need")
     met = materialise(_possible(met.select("a", "b"), sketches, percent), "met")
     texts = texts_of(ends(met))
 
@@ -430,15 +461,27 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = N
     found = components(links)
 
     # Last: every two members of an entry that aren't tied; entries of many components in blocks.
-    members = with_component(shared.select("sig", "key"), found, "key")
-    ties = members.groupBy("sig", "key_c").agg(F.count(F.lit(1)).alias("n"))
-    several = ties.groupBy("sig").agg(F.count(F.lit(1)).alias("parts"), F.sum("n").alias("n")).where("parts > 1")
-    members = materialise(members.join(several, "sig"), "loose")
-    few = members.where(F.col("parts") <= CROWD).select("sig", "key", "key_c")
-    pairs = (few.toDF("sig", "a", "a_c").join(few.toDF("sig", "b", "b_c"), "sig")
-             .where("a < b and a_c <> b_c").groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).select("a", "b"))
+    members = with_component(shared.select("sig", "key", "need"), found, "key")
+    ties = members.groupBy("sig", "key_c").agg(
+        F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("key")).alias("keys"))
+    several = ties.groupBy("sig").agg(F.count(F.lit(1)).alias("parts"), F.sum("n").alias("n"),
+                                      F.bit_xor("keys").alias("keys")).where("parts > 1")
+    several = materialise(several, "several")
+    members = materialise(members.join(several.select("sig", "parts", "n"), "sig"), "loose")
+    few = members.where(F.col("parts") <= CROWD)
+    # Two components of an entry meet, and only members of different ones are paired.
+    parts = few.groupBy("sig", "key_c").agg(F.count(F.lit(1)).alias("_")).select("sig", "key_c")
+    meet = parts.toDF("sig", "a_c").join(parts.toDF("sig", "b_c"), "sig").where("a_c < b_c")
+    side = lambda name: few.select("sig", F.col("key_c").alias(f"{name}_c"), F.col("key").alias(name),
+                                   F.col("need").alias(f"{name}_need"))
+    pairs = (meet.join(side("a"), ["sig", "a_c"]).join(side("b"), ["sig", "b_c"])
+             .groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+             .agg(F.count(F.lit(1)).alias("n"), F.min(F.least("a_need", "b_need")).alias("need"))
+             .where("n >= need").select("a", "b"))
     pairs = materialise(_possible(pairs, sketches, percent), "pairs")
-    crowded = members.where(F.col("parts") > CROWD)
+    # Entries of many components with the same members are compared once.
+    crowds = several.where(F.col("parts") > CROWD).groupBy("n", "keys").agg(F.min("sig").alias("sig")).select("sig")
+    crowded = members.where(F.col("parts") > CROWD).join(crowds, "sig", "left_semi").select("sig", "key", "key_c", "n")
     texts = texts_of(ends(pairs).union(crowded.select("key")))
     links = links.union(linked(pairs, texts)).union(
         materialise(_in_blocks(crowded, texts, n, percent), "links"))
