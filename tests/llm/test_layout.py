@@ -153,3 +153,21 @@ def test_packing_of_odd_rows(documents):
     rows = packed(documents([(None, "abc"), (1, "abc"), (1, "abc")])).collect()
     assert sorted((r["doc_id"] or -1, r["size"]) for r in rows) == [(-1, 3), (1, 3), (1, 3)]
     assert packed(documents([])).count() == 0
+
+
+def test_null_and_empty_texts_conflict_with_nothing(spark):
+    rows = [(i, None if i % 2 else "", f"s{i}") for i in range(20)] + [(30, "same", "x"), (31, "same", "y")]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, source STRING")
+    got = {r["doc_id"]: r["bin_id"] for r in packing.pack(
+        docs, 100, F.octet_length("text"), packing.copies("text")).collect()}
+    assert len({got[i] for i in range(20)}) == 1 and got[30] != got[31]
+
+
+def test_a_row_repeated_very_often_is_dealt_to_all_groups(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP_ROWS", 100)
+    docs = spark.createDataFrame([(7, "again", "s")] * 900 + [(i, f"t{i}", "s") for i in range(1000, 1100)],
+                                 "doc_id BIGINT, text STRING, source STRING")
+    got = packing.pack(docs, 100, F.octet_length("text"), packing.copies("text")).collect()
+    assert len(got) == 1000 and len({r["bin_id"] for r in got if r["doc_id"] == 7}) == 900
+    groups = [r["bin_id"] >> 32 for r in got if r["doc_id"] == 7]
+    assert max(groups.count(g) for g in set(groups)) < 200

@@ -172,3 +172,29 @@ def test_figures_do_not_depend_on_the_slice():
     single = [quality.features(np.frombuffer(r, np.uint8), np.array([0, len(r)]))[0] for r in raw]
     assert np.allclose(whole, np.stack(single))
     assert np.isfinite(whole).all()
+
+
+def test_fits_read_back_no_more_than_their_sample(spark, monkeypatch):
+    """A key with very many rows, some of one text and some of others."""
+    rows = [(1, f"the same text {i % 5}", "en") for i in range(3000)] + [
+        (i, f"der text nummer {i} und so weiter", "de") for i in range(2, 40)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, lang STRING")
+    seen = {}
+    monkeypatch.setattr(langid, "ContextTrees", lambda samples: seen.update(samples) or samples)
+    langid.fit(docs)
+    assert sorted(seen["en"]) == [f"the same text {i}" for i in range(5)] and len(seen["de"]) > 20
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 40)], "doc_id BIGINT, quality INT")
+    sizes = []
+    monkeypatch.setattr(quality, "AdditiveModel", lambda x, y: sizes.append((len(x), len(y))))
+    quality.fit(docs, labels.union(labels))
+    assert sizes == [(len(seen["de"]) + 1,) * 2]
+
+
+def test_every_one_of_many_languages_is_learned(spark, monkeypatch):
+    monkeypatch.setattr(langid, "SAMPLE_DOCS", 4)
+    monkeypatch.setattr(langid, "MOST_LANGUAGES", 10)
+    rows = [(40 * k + i, f"text {i} of {k}", f"l{k:03d}") for k in range(30) for i in range(8)]
+    seen = {}
+    monkeypatch.setattr(langid, "ContextTrees", lambda samples: seen.update(samples) or samples)
+    langid.fit(spark.createDataFrame(rows, "doc_id BIGINT, text STRING, lang STRING"))
+    assert len(seen) == 30 and sum(map(len, seen.values())) <= 4 * 10

@@ -1,5 +1,7 @@
 """Each stage of the pipeline against brute force on what the stage before it kept."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -39,6 +41,19 @@ def test_languages_and_quality_keep_clean_documents(stages, spark):
     assert ids(stages[2]) < ids(stages[1])
 
 
+def test_texts_of_no_language_go_and_the_language_is_written(spark):
+    rng = random.Random(1)
+    letters = [chr(c) for c in range(0x21, 0x7F)]
+    noise = "".join(rng.choice(letters) for _ in range(400))
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select(corpus_pipeline.COLUMNS)
+    known = {r["doc_id"]: r["lang"] for r in docs.collect()}
+    added = spark.createDataFrame([(10**6, noise, None, "s", 400)], docs.schema)
+    got = {r["doc_id"]: r["lang"] for r in corpus_pipeline.language_stage(
+        spark, docs.withColumn("lang", F.expr("if(doc_id % 7 = 0, null, lang)")).union(added), SF).collect()}
+    assert 10**6 not in got
+    assert sum(got[i] == known[i] for i in got) >= 0.97 * len(got) and None not in got.values()
+
+
 def test_one_document_of_each_group_stays(stages):
     groups = grouped([(r["doc_id"], r["text"]) for r in stages[2]])
     assert ids(stages[3]) == {i for i, (_, c) in groups.items() if i == c}
@@ -47,7 +62,10 @@ def test_one_document_of_each_group_stays(stages):
 
 def test_repeated_passages_go(stages):
     want = removed([(r["doc_id"], r["text"]) for r in stages[3]])
-    assert {r["doc_id"]: r["text"] for r in stages[4]} == {i: kept for i, (n, gone, kept) in want.items() if gone < n}
+    before = {r["doc_id"]: r["text"] for r in stages[3]}
+    assert {r["doc_id"]: r["text"] for r in stages[4]} == {
+        i: kept if gone else before[i] for i, (n, gone, kept) in want.items() if gone < n}
+    assert any("\n" in r["text"] for r in stages[4])
     assert all(r["n_chars"] == len(r["text"]) for r in stages[4])
 
 

@@ -10,8 +10,10 @@ the language that codes its letters in the fewest bits.
 Bytes are folded first: capitals to small letters, digits to one symbol; of the rest the
 ``SYMBOLS`` - 1 most frequent in the sample stay, all others share a symbol.
 
-The fit takes a documented sample: for each language the ``SAMPLE_DOCS`` labelled texts with
-the smallest hash of their key. Everything else runs over all texts, whole.
+The fit takes a documented sample: for each language the ``SAMPLE_DOCS`` labelled rows with
+the smallest hash of their key, up to ``SAMPLE_BYTES``, a repeated text once; with more than
+``MOST_LANGUAGES`` languages each gets its share of so many rows, one at least. Everything else
+runs over all texts, whole.
 A null text, or one without letters, is ``und`` with score 0. Ties go to the smaller name.
 Without any labelled text all are ``und``.
 """
@@ -25,12 +27,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tideline.llm.flat import slices, string_column
+from tideline.session import materialise
 
 ORDER = 3
 SYMBOLS = 32
 SAMPLE_DOCS = 300
 SAMPLE_BYTES = 2_000_000  # of one language at most, taken in the order of the hash; whole texts
-MOST_LANGUAGES = 200  # bounds what the driver reads; more languages are learned in the order of names
+MOST_LANGUAGES = 200  # languages that get that many; more of them share the budget of these rows equally
 UNKNOWN = "und"
 
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -121,21 +124,22 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     """Trees fitted on the driver from the sample, whose size the parameters bound."""
     rows = docs.select(F.col(key).alias("key"), F.col(lang).alias("lang"), F.col(text).alias("text")).where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("key")))
-    order = Window.partitionBy("lang").orderBy("h", "key")
-    hashed = rows.select("lang", "key", F.xxhash64(F.col("key").cast("string")).alias("h"),
-                         F.octet_length("text").alias("size"))
-    # Only the first rows of each language leave a task (a rank below a constant).
-    least = hashed.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= SAMPLE_DOCS)
-    kept: dict[str, list] = {}
-    room: dict[str, int] = {}
-    for row in least.orderBy("lang", "rank").limit(SAMPLE_DOCS * MOST_LANGUAGES).collect():
-        left = room.get(row["lang"], SAMPLE_BYTES) - row["size"]
-        if left >= 0 or row["lang"] not in kept:
-            room[row["lang"]] = left
-            kept.setdefault(row["lang"], []).append(row["key"])
-    keys = sorted({k for chosen in kept.values() for k in chosen})
+    which = ["lang", "key", "digest"]
+    languages = rows.select("lang").distinct().count()
+    share = max(1, SAMPLE_DOCS * min(MOST_LANGUAGES, languages) // max(languages, 1))
+    order = Window.partitionBy("lang").orderBy("h", "key", "digest")
+    hashed = rows.select("lang", "key", F.xxhash64("text").alias("digest"), F.octet_length("text").alias("size"),
+                         F.xxhash64(F.col("key").cast("string")).alias("h"))
+    # Rows that repeat are one text. Only the first rows of each language leave a task (a rank below a constant).
+    distinct = hashed.groupBy(*which).agg(F.min("size").alias("size"), F.min("h").alias("h"))
+    least = distinct.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= share)
+    before = Window.partitionBy("lang").orderBy("rank")
+    sized = least.withColumn("bytes", F.sum("size").over(before))
+    chosen = materialise(sized.where((F.col("rank") == 1) | (F.col("bytes") <= SAMPLE_BYTES)).select(*which),
+                         "language-sample")
     samples: dict[str, list[str]] = {}
-    for row in rows.where(F.col("key").isin(keys)).orderBy("lang", "key", "text").collect() if keys else []:
+    found = rows.withColumn("digest", F.xxhash64("text")).join(chosen, which).groupBy(*which).agg(F.min("text").alias("text"))
+    for row in found.orderBy(*which).collect():
         samples.setdefault(row["lang"], []).append(row["text"])
     return ContextTrees(samples)
 

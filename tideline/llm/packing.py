@@ -9,7 +9,10 @@ compatible bin. If there is none a new bin is opened; the number of bins has no
 
 A text larger than a bin is cut into pieces of the capacity, which fill bins of their own;
 the rest of it is packed as the others are. Null and empty texts have size 0 and are packed
-too. A null source or cluster conflicts with nothing. Repeated rows are packed one by one.
+too. A null source or cluster conflicts with nothing. Repeated rows are packed one by one; where
+more than ``MANY_ROWS`` repeat a key and cluster they are dealt to all groups. Of equal residuals
+the bin opened first is tried first, and of equal sizes the smaller key is packed first. An empty
+table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -20,7 +23,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tideline.session import materialise
+
 GROUP_ROWS = 4096
+MANY_ROWS = 64
 SCHEMA = "key long, piece int, pieces int, size long, bin_id long, slot int, offset long"
 
 
@@ -54,17 +60,27 @@ def _numbers(values: pd.Series) -> list[int]:
     return pd.factorize(values)[0].tolist()
 
 
+def copies(text: str) -> Column:
+    """Clusters of equal texts, told apart by a hash; null and empty texts are in none."""
+    return F.when(F.octet_length(text) > 0, F.xxhash64(text))
+
+
 def pack(docs: DataFrame, capacity: int, size: Column, cluster: Column, key: str = "doc_id",
          source: str = "source") -> DataFrame:
     """(key, piece, pieces, size, bin_id, slot, offset): where each piece of each row lies.
 
     ``slot`` and ``offset`` are the place and the first unit within the bin.
     """
-    groups = max(1, -(-docs.count() // GROUP_ROWS))
-    items = docs.select(
+    # Written with the row numbers, so that a row stays in its group.
+    items = materialise(docs.select(
         F.col(key).cast("long").alias("key"), F.col(source).alias("source"), cluster.alias("cluster"),
-        F.coalesce(size, F.lit(0)).cast("long").alias("size"),
-        F.pmod(F.xxhash64(F.col(key), cluster), F.lit(groups)).cast("long").alias("group"))
+        F.coalesce(size, F.lit(0)).cast("long").alias("size"), F.xxhash64(F.col(key), cluster).alias("deal"),
+        F.monotonically_increasing_id().alias("row")), "packing-items")
+    groups = max(1, -(-items.count() // GROUP_ROWS))
+    many = items.groupBy("deal").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > MANY_ROWS)
+    deal = F.when(F.col("rows").isNull(), F.col("deal")).otherwise(F.xxhash64("deal", "row"))
+    items = items.join(many, "deal", "left").select(
+        "key", "source", "cluster", "size", F.pmod(deal, F.lit(groups)).cast("long").alias("group"))
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         number = int(rows["group"].iloc[0])

@@ -223,7 +223,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     chosen = marked.orderBy(F.xxhash64(F.col("key").cast("string")), "key", "label").limit(SAMPLE_ROWS)
     texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     # At most SAMPLE_ROWS rows of two numbers, whatever the input.
-    rows = texts.join(F.broadcast(chosen), "key").select("key", "label", "text")
+    rows = texts.join(F.broadcast(chosen.distinct()), "key").select("key", "label", "text")
     schema = T.StructType([T.StructField("key", texts.schema["key"].dataType), T.StructField("label", T.IntegerType()),
                            T.StructField("x", T.ArrayType(T.DoubleType()))])
 
@@ -233,7 +233,9 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(list(x), pa.list_(pa.float64()))], schema.names)
 
-    sample = rows.mapInArrow(run, schema).orderBy("key", "label", "x").toPandas()
+    # Rows that repeat a key are one (the least figures): no more rows than labels come back.
+    once = rows.mapInArrow(run, schema).groupBy("key", "label").agg(F.min("x").alias("x"))
+    sample = once.orderBy("key", "label").toPandas()
     x = np.stack(sample["x"].tolist()) if len(sample) else np.zeros((0, len(FEATURES)))
     return AdditiveModel(x, sample["label"].to_numpy(dtype=np.int64))
 

@@ -212,7 +212,7 @@ def _factors(start, length, ref_key, ref_start) -> tuple[np.ndarray, ...]:
     return start[first], end - start[first], ref_key[first], ref_start[first]
 
 
-def _removed(texts: DataFrame, window: int) -> DataFrame:
+def _removed(texts: DataFrame, window: int, untouched: bool) -> DataFrame:
     carried = [f for f in texts.schema.fields if f.name not in ("key", "packed", "spans")]
     texts = texts.select("key", "packed", "spans", *[f.name for f in carried])
     schema = T.StructType([
@@ -243,7 +243,8 @@ def _removed(texts: DataFrame, window: int) -> DataFrame:
                         found = [dict(zip(("start", "length", "ref_key", "ref_start"), r, strict=True))
                                  for r in sorted(zip(*[x.tolist() for x in f], strict=True))]
                     gone.append(totals[-1] - len(parts))
-                    kept.append(b" ".join(parts).decode("utf-8", "replace"))
+                    whole_text = untouched and not gone[-1]
+                    kept.append((text if whole_text else b" ".join(parts)).decode("utf-8", "replace"))
                     factors.append(found)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0), pa.array(totals, pa.int64()), pa.array(gone, pa.int64()),
@@ -253,10 +254,11 @@ def _removed(texts: DataFrame, window: int) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW,
-                   anchor: int = ANCHOR, carry: Sequence[str] = ()) -> DataFrame:
+                   anchor: int = ANCHOR, carry: Sequence[str] = (), untouched: bool = False) -> DataFrame:
     """(key, n_words, n_removed, kept, factors, carried columns) of every row.
 
-    ``kept`` joins the words that stay by one space; ``factors`` are the removed ranges: first
+    ``kept`` joins the words that stay by one space; with ``untouched`` a text that loses none stays as it
+    is, white space included. ``factors`` are the removed ranges: first
     word, length, and where they were copied from.
     """
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
@@ -274,6 +276,6 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
     single = _match(in_blocks(_windows_asked(texts.join(asked, "key"), window)))
     matches = found.union(single).where("ref_key is not null").groupBy("key").agg(
         F.collect_list(F.struct("start", "windows", "ref_key", "ref_start")).alias("spans"))
-    done = _removed(pack_texts(whole).join(matches, "key", "left"), window)
+    done = _removed(pack_texts(whole).join(matches, "key", "left"), window, untouched)
     return done.select(F.col("key").alias(key), "n_words", "n_removed", "kept", "factors",
                        *[F.col(f"c{i}").alias(name) for i, name in enumerate(carry)])
