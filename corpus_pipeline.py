@@ -1,10 +1,12 @@
 """A training corpus from raw documents: five stages, each an operator of ``tideline.llm``.
 
-1. language ID: texts without a letter, and null texts, go;
+1. language ID: texts without a letter, null texts, and texts that every learned language codes in
+   more than ``MOST_BITS`` a byte, go; ``lang`` becomes the predicted language;
 2. quality classifier: texts predicted to be of low quality go;
 3. n-gram Jaccard join: of each group of near duplicates the smallest doc_id stays;
 4. substring dedup: words of repeated passages are removed from ``text`` (the others are
-   joined by one space; ``n_chars`` follows); a text left without words goes;
+   joined by one space; ``n_chars`` follows; a text that loses none stays as it is); a text left
+   without words goes;
 5. best-fit packing: the pieces of the texts with their bins.
 
 Every stage is written before the next reads it. Models are fitted on the stage's own input.
@@ -23,11 +25,13 @@ from tideline.session import materialise
 
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+MOST_BITS = 6.0  # running text takes 2 to 3 bits a byte in its language, a few words with keys or numbers up to 5.5
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = langid.identify(docs.select(COLUMNS), langid.fit(docs))
-    return found.where(F.col("lang_pred") != langid.UNKNOWN).select(COLUMNS)
+    known = found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("bits_per_byte") <= MOST_BITS))
+    return known.withColumn("lang", F.col("lang_pred")).select(COLUMNS)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,13 +45,13 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = substring.remove_repeats(docs, carry=["lang", "source"]).where("n_removed < n_words")
+    kept = substring.remove_repeats(docs, carry=["lang", "source"], untouched=True).where("n_removed < n_words")
     return kept.select("doc_id", F.col("kept").alias("text"), "lang", "source",
                        F.length("kept").cast("long").alias("n_chars"))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, BIN_BYTES, F.octet_length("text"), F.xxhash64("text"))
+    return packing.pack(docs, BIN_BYTES, F.octet_length("text"), packing.copies("text"))
 
 
 STAGES = [
