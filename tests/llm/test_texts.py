@@ -151,8 +151,9 @@ def test_crowded_entries_are_compared_in_blocks(documents, monkeypatch):
         rows.append((k, " ".join(words)))
     want = grouped(rows)
     assert 4 < len({c for _, c in want.values()}) < 50
-    for crowd, block in ((1, 8), (1000, 384)):
+    for crowd, block, pairs in ((1, 8, 0), (1, 8, 1000), (1000, 384, 4)):
         monkeypatch.setattr(jaccard, "CROWD", crowd)
+        monkeypatch.setattr(jaccard, "PAIRS_EACH", pairs)
         monkeypatch.setattr(jaccard, "BLOCK", block)
         got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.similar(documents(rows)).collect()}
         assert got == want
@@ -262,3 +263,19 @@ def test_a_group_of_near_copies_and_a_stranger_in_its_entries(documents, spark):
     texts.append(passage + " " + " ".join(f"s{i}" for i in rng.integers(0, 10**6, 40)))
     got = {r["doc_id"]: r["component_id"] for r in jaccard.similar(documents(texts)).collect()}
     assert {got[i] for i in range(1500)} == {0} and got[1500] == 1500
+
+
+def test_sketches_exclude_no_link():
+    rng = np.random.default_rng(3)
+    sets = []
+    for size in [1, 2, 3, 5, 9, 17, 40, 64, 100, 700, 5000]:
+        x = rng.integers(0, 2**63, size).astype(np.uint64)
+        for gone in (0, size // 8, size // 4):
+            sets.append(x[gone:])
+            sets.append(np.concatenate([x[gone:], rng.integers(0, 2**63, size // 16).astype(np.uint64)]))
+    size, sketch = np.array([len(s) for s in sets]), [jaccard._sketch(s) for s in sets]
+    i, j = jaccard.possible_pairs(size, sketch, np.arange(len(sets)), 75)
+    found = set(zip(i.tolist(), j.tolist()))
+    linked = {(a, b) for a in range(len(sets)) for b in range(a + 1, len(sets))
+              if 100 * len(np.intersect1d(sets[a], sets[b])) >= 75 * len(np.union1d(sets[a], sets[b]))}
+    assert linked <= found and len(found) < len(linked) * 2.5

@@ -23,8 +23,9 @@ largest partner lies in the next band is indexed there too. What is indexed is a
 
 Equal sets are one class from the start. Members of an index entry are compared exactly with
 its first member: each text with the smallest of these first, then with all of them that it
-isn't tied to; then every two members of different components in an entry. So no link between
-components is lost, while a group of near copies costs a comparison per document. Texts are
+isn't tied to; then every two members of different components in an entry: pair by pair where
+components are few, else in blocks, by sketches first and by texts where many may link. So no link
+between components is lost, while a group of near copies costs a comparison per document. Texts are
 compared only where the sizes and a sketch of each set (bucket counts, which bound the
 intersection from above) allow a link.
 Rows stream through sorted index blocks, so an entry of any size fits a task; equal sets of a
@@ -56,6 +57,7 @@ FREQUENT = 2048  # a member is frequent if one document in so many has it
 MOST_FREQUENT = 1 << 17  # bounds what is sent to every task
 CROWD = 16  # entries of more components are compared in blocks
 BLOCK = 768
+PAIRS_EACH = 4  # possible pairs for each member of a chunk pair, above which its texts are compared all together
 TOKENS_AT_ONCE = 8192
 _U = np.uint64
 
@@ -374,18 +376,70 @@ def _linked(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFra
     return both.mapInArrow(run, "a long, b long")
 
 
-def _in_blocks(crowded: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
-    """Links (a, b) that tie what is similar within each entry, from (sig, key, key_c, n members).
-
-    An entry is dealt by hash into chunks of about BLOCK members, and each pair of chunks is
-    compared in one task; a chunk pair gives a link per member at most, not its pairs.
-    """
+def _chunks(crowded: DataFrame) -> DataFrame:
+    """(sig, key, key_c, low, high): the members of an entry in each pair of its chunks of about BLOCK members."""
     chunks = F.ceil(F.col("n") / BLOCK).cast("int")
-    dealt = (crowded.withColumn("chunk", F.pmod(F.xxhash64("key"), chunks).cast("int"))
-             .withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
-             .select("sig", "key", "key_c", F.least("chunk", "other").alias("low"),
-                     F.greatest("chunk", "other").alias("high")))
+    return (crowded.withColumn("chunk", F.pmod(F.xxhash64("key"), chunks).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
+            .select("sig", "key", "key_c", F.least("chunk", "other").alias("low"),
+                    F.greatest("chunk", "other").alias("high")))
+
+
+def _folded(sketches: list[bytes], width: int) -> np.ndarray:
+    """Sketches of at least ``width`` buckets as rows of that many; a full count stands for any."""
+    rows = []
+    for sketch in sketches:
+        counts = np.frombuffer(sketch, np.uint8).astype(np.int32)
+        counts[counts == 255] = 1 << 24
+        rows.append(counts.reshape(-1, width).sum(axis=0))
+    return np.array(rows, np.int32).reshape(len(rows), width)
+
+
+def possible_pairs(size: np.ndarray, sketch: list[bytes], tie: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(i, j), i < j, of the members that are not tied and whose sizes and sketches allow to link."""
+    order = np.argsort(size, kind="stable")
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    widths = np.array([len(sketch[i]) for i in order])
+    for width in np.unique(widths):
+        # In order of size, a member's larger partners follow it, up to a bound.
+        own = np.flatnonzero(widths == width)
+        reach = np.searchsorted(size[order], size[order[own]] * 100 // percent, side="right")
+        last = int(reach.max())
+        table = _folded([sketch[i] for i in order[own[0]:last]], int(width))
+        for at, end in zip(own.tolist(), reach.tolist(), strict=True):
+            partner = np.arange(at + 1, end)
+            partner = partner[tie[order[partner]] != tie[order[at]]]
+            if len(partner):
+                most = np.minimum(table[at - own[0]], table[partner - own[0]]).sum(axis=1)
+                most = np.minimum(most, size[order[at]])
+                yes = partner[100 * most >= percent * (size[order[at]] + size[order[partner]] - most)]
+                found.append((np.full(len(yes), order[at]), order[yes]))
+    i, j = (np.concatenate(part) for part in zip(*found, strict=True))
+    return np.minimum(i, j), np.maximum(i, j)
+
+
+def _sketched(chunks: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """(sig, low, high, a, b): pairs of a chunk pair that may link; a and b are NULL where these are many."""
+    def run(table: pa.Table) -> pa.Table:
+        names = ("sig", "low", "high", "key", "key_c", "size")
+        sig, low, high, key, tie, size = (np.asarray(table.column(c)) for c in names)
+        i, j = possible_pairs(size, table.column("sketch").to_pylist(), tie, percent)
+        dense = len(i) > PAIRS_EACH * len(key)
+        a, b = (pa.nulls(1, pa.int64()),) * 2 if dense else (pa.array(np.minimum(key[i], key[j])),
+                                                             pa.array(np.maximum(key[i], key[j])))
+        n = len(a)
+        return pa.table({"sig": np.repeat(sig[:1], n), "low": np.repeat(low[:1], n), "high": np.repeat(high[:1], n),
+                         "a": a, "b": b})
+
+    rows = chunks.join(sketches, "key").select("sig", "low", "high", "key", "key_c", "size", "sketch")
+    return rows.groupBy("sig", "low", "high").applyInArrow(run, "sig long, low int, high int, a long, b long")
 
+
+def _in_blocks(chunks: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """Links (a, b) that tie what is similar within chunk pairs, from their (sig, key, key_c, low, high).
+
+    Each pair of chunks is compared in one task; it gives a link per member at most, not its pairs.
+    """
     def run(table: pa.Table) -> pa.Table:
         key = np.asarray(table.column("key"))
         tie = np.asarray(table.column("key_c"))
@@ -407,7 +461,7 @@ def _in_blocks(crowded: DataFrame, texts: DataFrame, n: int, percent: int) -> Da
         tied = np.flatnonzero(root != np.arange(len(key)))
         return pa.table({"a": key[root[tied]], "b": key[tied]})
 
-    rows = dealt.join(texts, "key").select("sig", "low", "high", "key", "key_c", "packed")
+    rows = chunks.join(texts, "key").select("sig", "low", "high", "key", "key_c", "packed")
     return rows.groupBy("sig", "low", "high").applyInArrow(run, "a long, b long")
 
 
@@ -482,9 +536,13 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = N
     # Entries of many components with the same members are compared once.
     crowds = several.where(F.col("parts") > CROWD).groupBy("n", "keys").agg(F.min("sig").alias("sig")).select("sig")
     crowded = members.where(F.col("parts") > CROWD).join(crowds, "sig", "left_semi").select("sig", "key", "key_c", "n")
-    texts = texts_of(ends(pairs).union(crowded.select("key")))
+    chunks = materialise(_chunks(crowded), "chunks")
+    sketched = materialise(_sketched(chunks, sketches, percent), "sketched")
+    dense = chunks.join(sketched.where("a is null").select("sig", "low", "high"), ["sig", "low", "high"], "left_semi")
+    pairs = pairs.union(sketched.where("a is not null").groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).select("a", "b"))
+    texts = texts_of(ends(pairs).union(dense.select("key")))
     links = links.union(linked(pairs, texts)).union(
-        materialise(_in_blocks(crowded, texts, n, percent), "links"))
+        materialise(_in_blocks(dense, texts, n, percent), "links"))
     found = components(links).toDF("id", "component")
     return described.join(found, F.col("key") == F.col("id"), "left").select(
         F.col("key").alias(key), F.col("size").alias("n_shingles"),

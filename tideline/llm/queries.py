@@ -35,8 +35,7 @@ BEST = 50
 def op1_substring_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return substring.remove_repeats(docs).select(
-        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"),
-        F.size("factors").alias("n_factors"))
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 @query
@@ -167,3 +166,58 @@ SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc
 FROM scores WHERE score > 0
 QUALIFY rank <= 50
 """
+
+# Every window of 20 words by its text; the earliest start of each is the one that stays.
+ORACLES["op1_substring_dedup"] = r"""
+WITH texts AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+starts AS (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS start FROM texts),
+windows AS (SELECT doc_id, start, array_to_string(words[start:start + 19], ' ') AS content FROM starts),
+later AS (
+  SELECT doc_id, start FROM windows QUALIFY row_number() OVER (PARTITION BY content ORDER BY doc_id, start) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start, start + 20)) AS place FROM later),
+places AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS place FROM texts),
+stay AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS kept, count(*) AS n
+  FROM places ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id)
+SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM texts LEFT JOIN stay USING (doc_id)
+"""
+
+# Every pair of vectors of a label; components by walking the links.
+ORACLES["op2_embedding_dedup"] = """
+WITH RECURSIVE whole AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    AND list_sum([x * x FOR x IN embedding::DOUBLE[]]) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM whole a JOIN whole b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a) LEFT JOIN counts ON counts.a = vec_id
+"""
+
+# Sets of shingles joined on a common one, counted, and components by walking the links.
+ORACLES["op9_jaccard_join"] = r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS words FROM documents),
+starts AS (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS start FROM texts WHERE len(words) > 0),
+shingles AS (SELECT DISTINCT doc_id, array_to_string(words[start:start + 4], ' ') AS shingle FROM starts),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b USING (shingle)
+  WHERE a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * common.n >= 75 * (x.n + y.n - common.n)),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id
+FROM (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) LEFT JOIN sizes USING (doc_id)
+"""
