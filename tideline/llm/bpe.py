@@ -8,7 +8,8 @@ over linked parts, as repeated scans would be quadratic there. Words repeat, so
 keeps what it has encoded (at most ``KEPT_WORDS``).
 
 Null texts have no ids and decode to an empty text. A special token written out in a text
-becomes its own id, as the vocabulary file asks.
+becomes its own id, as the vocabulary file asks. Rows are encoded one by one, also where they
+repeat; an empty table gives no rows; a column of the added name is replaced, others pass through.
 """
 
 from __future__ import annotations

@@ -31,7 +31,9 @@ intersection from above) allow a link.
 Rows stream through sorted index blocks, so an entry of any size fits a task; equal sets of a
 scanning batch are indexed once.
 
-Null keys take no part and have a null component; rows that share a key are one document.
+Null keys take no part and have a null component; rows that share a key are one document. Texts at
+the very threshold link. An empty table gives no rows; columns other than key and text are not
+read, so their names may clash.
 """
 
 from __future__ import annotations

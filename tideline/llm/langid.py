@@ -15,6 +15,8 @@ the smallest hash of their key, up to ``SAMPLE_BYTES``, a repeated text once; wi
 ``MOST_LANGUAGES`` languages each gets its share of so many rows, one at least. Everything else
 runs over all texts, whole.
 A null text, or one without letters, is ``und`` with score 0. Ties go to the smaller name.
+Rows that repeat a key are identified one by one. An empty table gives no rows; columns of the added
+names are replaced, others pass through.
 Without any labelled text all are ``und``.
 """
 

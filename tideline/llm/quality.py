@@ -8,8 +8,10 @@ the logistic of the sum of looked-up values: for a batch of texts a few vectoris
 
 The fit takes a documented sample, the ``SAMPLE_ROWS`` labelled rows with the smallest hash
 of their key; scoring runs over all texts, whole. Null and empty texts are scored as texts
-without words. Null labels are left out; of several labels of a key each counts. With no
-label, or one class only, the score is the smoothed share of the class.
+without words. Null labels are left out; of several labels of a key each counts, and rows
+that repeat a key count once in the fit (the least figures) and are scored one by one. With no
+label, or one class only, the score is the smoothed share of the class. An empty table gives no
+rows; columns named ``score`` or ``predicted`` are replaced, others pass through.
 """
 
 from __future__ import annotations

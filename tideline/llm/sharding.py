@@ -7,7 +7,9 @@ most. Ranks are counted in buckets of the hash and of the fractional rank, so no
 a source.
 
 A null source is a source of its own; rows of equal key keep the order of their checksum and
-size; null texts count as empty. Columns other than key, source and text are not read.
+size; null texts count as empty. Groups of equal texts are not kept together: they are spread over
+the shards as any other rows. An empty table gives no rows. Columns other than key, source and
+text are not read.
 """
 
 from __future__ import annotations

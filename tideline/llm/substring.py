@@ -1,5 +1,7 @@
-"""Substring dedup by relative Lempel-Ziv parsing against an index of all texts (operator 1).
+"""Substring dedup by windows that start earlier elsewhere, found through anchors (operator 1).
 
+Dealt as relative Lempel-Ziv parsing; which words go is settled by equal hashes of windows, and the
+factors are what these hits join to: there is no longest match and no greedy advance (README).
 Every word that lies in a window of ``WINDOW`` words whose sequence also starts earlier
 (smaller key, or same key and earlier start) is removed.
 
@@ -20,6 +22,8 @@ exactly the blocks that hold one of its anchors.
 Words are compared by 64-bit hashes of anchor and of stretch or window together (128 bits).
 Null texts and texts of fewer words than a window lose nothing; a null key takes no part.
 Rows that repeat a key are taken as one document, so they don't remove each other's words.
+Of equal windows the one with the smallest (key, start) stays. An empty table gives no rows; columns
+other than key, text and those to carry are not read, so their names may clash.
 """
 
 from __future__ import annotations
