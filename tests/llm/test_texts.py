@@ -246,8 +246,9 @@ def test_linked_sets_have_the_common_entries_they_ask_for():
             frequent = np.sort(rng.choice(x, size // 2, replace=False))
             sig, of, need = jaccard.entries_of(member, doc, np.array([len(x), len(y)]), frequent)
             common = np.intersect1d(sig[of == 0], sig[of == 1])
-            asked = [int(n) for s, n in zip(sig, need) if s in common]
+            asked = [abs(int(n)) for s, n in zip(sig, need) if s in common]
             assert asked and len(common) >= min(asked)
+            assert np.intersect1d(sig[(of == 0) & (need > 0)], sig[(of == 1) & (need > 0)]).size
 
 
 def test_a_group_of_near_copies_and_a_stranger_in_its_entries(documents, spark):

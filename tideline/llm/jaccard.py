@@ -190,7 +190,11 @@ def signatures(member: np.ndarray, doc: np.ndarray, size: np.ndarray, frequent:
 
 def entries_of(member: np.ndarray, doc: np.ndarray, size: np.ndarray, frequent: np.ndarray,
                percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The same, and how many entries a partner must have in common with the set."""
+    """The same, and how many entries a partner must have in common with the set.
+
+    The number is negative on the entries that are only there to be counted: two sets that link
+    also have one of the others in common.
+    """
     sig, of, need = [], [], []
     band, partner = _band(size), largest_partner(size, percent)
     rare = np.ones(len(member), bool)
@@ -229,7 +233,8 @@ def entries_of(member: np.ndarray, doc: np.ndarray, size: np.ndarray, frequent:
         common_entries = np.maximum(np.minimum(1 + extra, filled - differing), 1)
         sig.append(exact[chosen])
         of.append(seg_doc[chosen])
-        need.append(common_entries[seg_doc[chosen]])
+        asked = common_entries[seg_doc[chosen]]
+        need.append(np.where(rank[chosen] <= differing[seg_doc[chosen]], asked, -asked))
         short = used & (filled <= differing)
         if short.any():
             near = short[seg_doc]
@@ -500,7 +505,7 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = N
         return tied.withColumn(f"{name}_c", F.coalesce(f"{name}_c", name))
 
     # The pairs of a key and a leader it meets that may link.
-    least_need = F.min(F.least("need", "leader_need")).alias("need")
+    least_need = F.min(F.least(F.abs("need"), F.abs("leader_need"))).alias("need")
     met = shared.where("key <> leader").groupBy(F.col("leader").alias("a"), F.col("key").alias("b")).agg(
         F.count(F.lit(1)).alias("n"), least_need).where("n >= need")
     met = materialise(_possible(met.select("a", "b"), sketches, percent), "met")
@@ -518,13 +523,20 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = N
 
     # Last: every two members of an entry that aren't tied; entries of many components in blocks.
     members = with_component(shared.select("sig", "key", "need"), found, "key")
+    # Own members are those whose entry isn't there for counting alone.
+    own = F.col("need") > 0
     ties = members.groupBy("sig", "key_c").agg(
-        F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("key")).alias("keys"))
-    several = ties.groupBy("sig").agg(F.count(F.lit(1)).alias("parts"), F.sum("n").alias("n"),
-                                      F.bit_xor("keys").alias("keys")).where("parts > 1")
+        F.count_if(own).alias("own"), F.bit_xor(F.when(own, F.xxhash64("key"))).alias("keys"))
+    several = ties.groupBy("sig").agg(
+        F.count(F.lit(1)).alias("parts"), F.count_if(F.col("own") > 0).alias("own_parts"), F.sum("own").alias("n"),
+        F.bit_xor("keys").alias("keys")).where("parts > 1")
     several = materialise(several, "several")
-    members = materialise(members.join(several.select("sig", "parts", "n"), "sig"), "loose")
-    few = members.where(F.col("parts") <= CROWD)
+    members = materialise(members.join(several.select("sig", "parts", "own_parts", "n"), "sig"), "loose")
+    in_crowds = members.where(F.col("parts") > CROWD)
+    # Entries of few components give pairs, which are counted; what a key has in crowds may be missing.
+    uncounted = in_crowds.groupBy("key").agg(F.count(F.lit(1)).alias("uncounted"))
+    few = members.where(F.col("parts") <= CROWD).join(uncounted, "key", "left").withColumn(
+        "need", F.greatest(F.lit(1), F.abs("need") - F.coalesce("uncounted", F.lit(0))))
     # Two components of an entry meet, and only members of different ones are paired.
     parts = few.groupBy("sig", "key_c").agg(F.count(F.lit(1)).alias("_")).select("sig", "key_c")
     meet = parts.toDF("sig", "a_c").join(parts.toDF("sig", "b_c"), "sig").where("a_c < b_c")
@@ -535,9 +547,10 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = N
              .agg(F.count(F.lit(1)).alias("n"), F.min(F.least("a_need", "b_need")).alias("need"))
              .where("n >= need").select("a", "b"))
     pairs = materialise(_possible(pairs, sketches, percent), "pairs")
-    # Entries of many components with the same members are compared once.
-    crowds = several.where(F.col("parts") > CROWD).groupBy("n", "keys").agg(F.min("sig").alias("sig")).select("sig")
-    crowded = members.where(F.col("parts") > CROWD).join(crowds, "sig", "left_semi").select("sig", "key", "key_c", "n")
+    # Of entries of many components the own members are compared; the same members once.
+    crowds = several.where((F.col("parts") > CROWD) & (F.col("own_parts") > 1)).groupBy("n", "keys").agg(
+        F.min("sig").alias("sig")).select("sig")
+    crowded = in_crowds.where(own).join(crowds, "sig", "left_semi").select("sig", "key", "key_c", "n")
     chunks = materialise(_chunks(crowded), "chunks")
     sketched = materialise(_sketched(chunks, sketches, percent), "sketched")
     dense = chunks.join(sketched.where("a is null").select("sig", "low", "high"), ["sig", "low", "high"], "left_semi")
