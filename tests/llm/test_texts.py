@@ -233,7 +233,9 @@ def test_queries_give_the_digest_of_the_kept_text(spark):
     assert got.select(F.sum("n_removed")).first()[0] > 0
 
 
-def test_linked_sets_have_the_common_entries_they_ask_for():
+@pytest.mark.parametrize("extra", [0.0, 0.3])
+def test_linked_sets_have_the_common_entries_they_ask_for(monkeypatch, extra):
+    monkeypatch.setattr(jaccard, "EXTRA", extra)
     rng = np.random.default_rng(12)
     for size in [*range(1, 40), 60, 150, 700]:
         for _ in range(6):

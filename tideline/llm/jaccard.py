@@ -12,9 +12,8 @@ largest partner lies in the next band is indexed there too. What is indexed is a
 
 * H + 1 of the non-empty segments, in one order for all sets: segments with a rare member
   first, then by hash. Frequent members are found by a count over all documents; they change
-  the cost, never the result. A share ``EXTRA`` of H more are indexed beside them: two sets that
-  link then have as many entries in common, and one, so pairs with fewer common entries,
-  such as texts that share a passage, are not compared.
+  the cost, never the result. A share ``EXTRA`` of H more can be indexed beside them: two sets
+  that link then have as many entries in common, and one, and pairs with fewer are not compared.
 * A set with H non-empty segments or fewer indexes all of them, and beside each the
   neighbourhood with one member deleted: a segment of several members then bears one
   difference, and only two spoil it.
@@ -53,7 +52,7 @@ from tideline.session import materialise
 N = 5
 PERCENT = 75
 BAND = 4
-EXTRA = 3  # one index entry more for so many that a partner can spoil
+EXTRA = 0.0  # share of the entries a partner can spoil that is indexed beside H + 1
 FILL = 1.5  # mean members of a segment for the largest sets of a band
 FREQUENT = 2048  # a member is frequent if one document in so many has it
 MOST_FREQUENT = 1 << 17  # bounds what is sent to every task
@@ -227,7 +226,7 @@ def entries_of(member: np.ndarray, doc: np.ndarray, size: np.ndarray, frequent:
         order = np.lexsort((exact, common, seg_doc))
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order)) - (np.cumsum(filled) - filled)[seg_doc[order]]
-        extra = differing // EXTRA
+        extra = (differing * EXTRA).astype(np.int64)
         chosen = rank <= (differing + extra)[seg_doc]
         # Each difference spoils a segment at most: this many of the first ones stay in common.
         common_entries = np.maximum(np.minimum(1 + extra, filled - differing), 1)
