@@ -185,22 +185,6 @@ SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIG
 FROM texts LEFT JOIN stay USING (doc_id)
 """
 
-# Every pair of vectors of a label; components by walking the links.
-ORACLES["op2_embedding_dedup"] = """
-WITH RECURSIVE whole AS (
-  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
-  WHERE label IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
-    AND list_sum([x * x FOR x IN embedding::DOUBLE[]]) > 0),
-links AS (
-  SELECT a.vec_id AS a, b.vec_id AS b FROM whole a JOIN whole b ON a.label = b.label AND a.vec_id <> b.vec_id
-  WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
-reach AS (
-  SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
-counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
-SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
-FROM (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a) LEFT JOIN counts ON counts.a = vec_id
-"""
-
 # Sets of shingles joined on a common one, counted, and components by walking the links.
 ORACLES["op9_jaccard_join"] = r"""
 WITH RECURSIVE texts AS (
