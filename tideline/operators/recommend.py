@@ -14,6 +14,8 @@ from tideline.session import materialise
 
 SLICE_USERS = 100_000  # users of an item that one slice of it holds, about
 MOST_HOT = 10_000      # items that may be cut into slices; the size of a slice follows from it
+FEW_SIMILAR = 1_000_000  # pairs of similar items that every task may hold
+SEEN_PER_TASK = 50_000   # entries whose candidates one task adds up, about
 MIN_NEIGHBOURS = 2  # an estimate resting on a single neighbour is not given
 
 
@@ -118,8 +120,12 @@ def sliced_join(seen: DataFrame, similar: DataFrame) -> DataFrame:
 def item_scores(seen: DataFrame, similar: DataFrame) -> DataFrame:
     """(user_id, item_id, score): summed similarity of an unseen item to the user's items.
 
-    ``seen`` holds each user and item together once.
+    ``seen`` holds each user and item together once. Where the similar items are few, candidates
+    are added up where a user's entries are; else they are shuffled, added up per task before.
     """
+    similar = materialise(similar.select("item_id", "other_item_id", "sim"), "similar")
+    if similar.count() <= FEW_SIMILAR:
+        return _scores_by_user(seen, similar)
     parts = sliced_join(seen, similar).select(
         "user_id", F.col("other_item_id").alias("item_id"), "sim", F.lit(False).alias("seen")
     )
@@ -132,6 +138,22 @@ def item_scores(seen: DataFrame, similar: DataFrame) -> DataFrame:
     )
 
 
+def _scores_by_user(seen: DataFrame, similar: DataFrame) -> DataFrame:
+    """:func:`item_scores` with the entries dealt by user, the only rows that are shuffled."""
+    tasks = max(seen.sparkSession.sparkContext.defaultParallelism, -(-seen.count() // SEEN_PER_TASK))
+    others = F.struct(F.col("other_item_id").alias("item_id"), "sim", F.lit(False).alias("seen"))
+    lists = similar.groupBy("item_id").agg(F.collect_list(others).alias("others"))
+    mark = F.array(F.struct("item_id", F.lit(None).cast("double").alias("sim"), F.lit(True).alias("seen")))
+    dealt = seen.select("user_id", "item_id").repartition(tasks, "user_id").join(F.broadcast(lists), "item_id", "left")
+    parts = dealt.select("user_id", F.inline(F.when(F.col("others").isNull(), mark).otherwise(F.concat(mark, "others"))))
+    return (
+        parts.groupBy("user_id", "item_id")
+        .agg(F.sum("sim").alias("score"), F.bool_or("seen").alias("seen"))
+        .where(~F.col("seen"))
+        .drop("seen")
+    )
+
+
 def recommend_items(ratings: DataFrame, k: int = 10, similar_items: int = SIMILAR_ITEMS) -> DataFrame:
     """Item-based top-k for every user of boolean preferences."""
     seen = materialise(to_boolean(ratings).select("user_id", "item_id"), "seen")
