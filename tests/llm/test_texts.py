@@ -159,6 +159,46 @@ def test_crowded_entries_are_compared_in_blocks(documents, monkeypatch):
         assert got == want
 
 
+def test_entries_of_the_same_keys_are_one(spark, monkeypatch):
+    """Whatever batches and rows an entry is spread over."""
+    monkeypatch.setattr(jaccard, "ROW_KEYS", 4)
+    entries = {1: [1, 2], 2: [1, 2], 3: [7], 4: [1, 2, 3], 5: list(range(20, 33)), 6: [1, 2], 7: [5, 6, 7, 8], 8: [5, 6, 7, 8, 9]}
+    rows = [(sig, key, 1) for sig, keys in entries.items() for key in keys for _ in range(1 + key % 2)]
+    df = spark.createDataFrame(rows, "sig long, key long, need int").coalesce(1).sortWithinPartitions("sig", "key")
+    want = sorted([(1, [1, 2], 3), (1, [1, 2, 3], 1), (5, [5, 6, 7, 8], 1), (5, [5, 6, 7, 8, 9], 1), (20, list(range(20, 33)), 1)])
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for size in ("1", "3", "7", "10000"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        try:
+            found = jaccard._shared(jaccard._walked(df)).collect()
+        finally:
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+        got = {}
+        for r in found:
+            got.setdefault((r["sig"], r["leader"], r["times"]), []).append(r["key"])
+        assert sorted((leader, sorted(keys), times) for (_, leader, times), keys in got.items()) == want
+
+
+def test_overlapping_crowds_are_compared_once(spark):
+    """A hundred entries of nearly the same keys give no more rows than one; entries apart stay apart."""
+    rows = [(sig, key, key, 190) for sig in range(100) for key in range(200) if (sig + key) % 20]
+    rows += [(sig, key, key, 30) for sig in (500, 501) for key in [0, *range(sig * 100, sig * 100 + 29)]]
+    united = jaccard._united(spark.createDataFrame(rows, "sig long, key long, key_c long, n long")).collect()
+    together = {}
+    for r in united:
+        together.setdefault(r["sig"], set()).add(r["key"])
+    assert len(united) < 1000
+    assert all(any(set(range(200)) - {k for k in range(200) if not (sig + k) % 20} <= keys for keys in together.values())
+               for sig in range(100))
+    assert all(any({0, *range(sig * 100, sig * 100 + 29)} <= keys for keys in together.values()) for sig in (500, 501))
+
+
+def test_texts_that_nobody_asks_for_stay_out(spark):
+    rows = spark.range(3000).selectExpr("id AS key", "concat('t', id) AS text")
+    got = {r["key"]: r["text"] for r in jaccard._among(rows, rows.where("key % 10 = 3").select("key")).collect()}
+    assert {k: f"t{k}" for k in range(3, 3000, 10)}.items() <= got.items() and len(got) < 310
+
+
 def test_jaccard_join_of_odd_rows(documents):
     text = "a b c d e f g"
     got = jaccard.similar(documents([(None, text), (3, text), (3, text), (9, text.upper()), (4, None)]))

@@ -23,7 +23,8 @@ largest partner lies in the next band is indexed there too. What is indexed is a
 Equal sets are one class from the start. Members of an index entry are compared exactly with
 its first member: each text with the smallest of these first, then with all of them that it
 isn't tied to; then every two members of different components in an entry: pair by pair where
-components are few, else in blocks, by sketches first and by texts where many may link. So no link
+components are few, else in blocks, by sketches first and by texts where many may link. Entries with
+the same keys count as one, and large ones that overlap are united for the last step. So no link
 between components is lost, while a group of near copies costs a comparison per document. Texts are
 compared only where the sizes and a sketch of each set (bucket counts, which bound the
 intersection from above) allow a link.
@@ -37,12 +38,13 @@ read, so their names may clash.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tideline.llm.components import components, labels
 from tideline.llm.flat import grams, mix, slices, string_column, text_buffers, words
@@ -56,10 +58,12 @@ EXTRA = 0.0  # share of the entries a partner can spoil that is indexed beside H
 FILL = 1.5  # mean members of a segment for the largest sets of a band
 FREQUENT = 2048  # a member is frequent if one document in so many has it
 MOST_FREQUENT = 1 << 17  # bounds what is sent to every task
+ROW_KEYS = 256  # an entry of more members is dealt over several rows
 CROWD = 16  # entries of more components are compared in blocks
 BLOCK = 768
 PAIRS_EACH = 4  # possible pairs for each member of a chunk pair, above which its texts are compared all together
 TOKENS_AT_ONCE = 8192
+BITMAP = 1 << 25  # hashes of keys, of which a bit each is sent to every task
 _U = np.uint64
 
 
@@ -274,43 +278,76 @@ def _index_entries(rows: DataFrame, frequent: np.ndarray, n: int, percent: int)
     return rows.mapInArrow(run, "sig long, key long, need int")
 
 
-def _shared(sorted_entries: DataFrame) -> DataFrame:
-    """(sig, key, need, leader, leader_need) of entries with several keys, walked in order of (sig, key)."""
-    names = ["sig", "key", "need", "leader", "leader_need"]
+def _walked(sorted_entries: DataFrame) -> DataFrame:
+    """(sig, keys, needs, leader, leader_need) of entries with several keys, walked in order of (sig, key).
+
+    A row holds all members of an entry and neither signature nor leader; an entry of more than
+    ``ROW_KEYS`` is dealt over rows with both, so that no more of it is held.
+    """
+    def rows(sig, leader, key, need, sizes):
+        offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(v, t)) for v, t in ((key, pa.int64()), (need, pa.int32()))]
+        told = [pa.array([v] * len(sizes), t) for v, t in zip((sig, *leader), (pa.int64(), pa.int64(), pa.int32()), strict=True)]
+        return pa.RecordBatch.from_arrays([told[0], *lists, *told[1:]], ["sig", "keys", "needs", "leader", "leader_need"])
+
+    def long_rows(sig, leader, key, need):
+        for at in range(0, len(key), ROW_KEYS):
+            part = key[at:at + ROW_KEYS]
+            yield rows(sig, leader, part, need[at:at + ROW_KEYS], [len(part)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, leader, told = None, None, False  # last: (sig, key, need); leader: (key, need)
-        for batch in batches:
-            sig, key, need = (np.asarray(batch.column(i)) for i in range(3))
-            if last is not None:
-                sig, key, need = (np.concatenate([[v], c]) for v, c in zip(last, (sig, key, need), strict=True))
+        # held: the rows of the last entry; once it is a long one, leader is set and only its last row, given before, is held.
+        held, leader = None, None
+        for batch in itertools.chain(batches, [None]):
+            columns = [] if batch is None else [[np.asarray(batch.column(i)) for i in range(3)]]
+            columns = ([held] if held else []) + columns
+            if not columns:
+                continue
+            sig, key, need = (np.concatenate(c) for c in zip(*columns, strict=True))
             if not len(sig):
                 continue
-            fresh = np.concatenate([[True], sig[1:] != sig[:-1]])
-            at = np.maximum.accumulate(np.where(fresh, np.arange(len(sig)), 0))
-            lead, lead_need = key[at], need[at]
-            if last is not None:
-                begun = np.append(np.flatnonzero(fresh[1:]) + 1, len(sig))[0]
-                lead[:begun], lead_need[:begun] = leader
-            other = (key != lead) & np.concatenate([[True], (key[1:] != key[:-1]) | fresh[1:]])
-            if last is not None:
-                other[0] = False  # given before, or the leader
-            # The leader's own row goes out with the first other key of its run.
-            run_of = np.cumsum(fresh) - 1
-            many = np.bincount(run_of[other], minlength=run_of[-1] + 1) > 0
-            begins = np.flatnonzero(fresh)
-            own = many.copy()
-            if told:
-                own[0] = False
-            at = begins[own]
-            both = lambda first, rest: pa.array(np.concatenate([first[at], rest[other]]))  # noqa: B023,E731
-            yield pa.RecordBatch.from_arrays(
-                [both(sig, sig), both(lead, key), both(lead_need, need).cast(pa.int32()), both(lead, lead),
-                 both(lead_need, lead_need).cast(pa.int32())], names)
-            told = bool(many[-1]) or (told and len(begins) == 1)
-            last, leader = (sig[-1], key[-1], need[-1]), (lead[-1], lead_need[-1])
-
-    return sorted_entries.mapInArrow(run, "sig long, key long, need int, leader long, leader_need int")
+            fresh = np.concatenate([[True], (sig[1:] != sig[:-1]) | (key[1:] != key[:-1])])
+            sig, key, need = sig[fresh], key[fresh], need[fresh]
+            begins = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
+            ends = np.append(begins[1:], len(sig))
+            done = np.ones(len(begins), bool)
+            if leader:
+                yield from long_rows(sig[0].item(), leader, key[1:ends[0]], need[1:ends[0]])
+                done[0] = False
+            if batch is not None:
+                done[-1] = False
+            sizes = ends - begins
+            whole = done & (sizes > 1) & (sizes <= ROW_KEYS)
+            if whole.any():
+                of = np.repeat(whole, sizes)
+                yield rows(None, (None, None), key[of], need[of], sizes[whole])
+            last = len(begins) - 1
+            for at in np.flatnonzero(~whole & (sizes > ROW_KEYS)).tolist():
+                if not (at == 0 and leader):
+                    i, j = begins[at], ends[at]
+                    yield from long_rows(sig[i].item(), (key[i].item(), need[i].item()), key[i:j], need[i:j])
+            i = begins[last]
+            if not (last == 0 and leader):
+                leader = (key[i].item(), need[i].item()) if sizes[last] > ROW_KEYS else None
+            if leader:
+                i = len(sig) - 1
+            held = (sig[i:], key[i:], need[i:])
+
+    return sorted_entries.mapInArrow(run, "sig long, keys array<long>, needs array<int>, leader long, leader_need int")
+
+
+def _shared(walked: DataFrame) -> DataFrame:
+    """(sig, key, need, leader, leader_need, times): entries of the same keys once, and how many these are.
+
+    They would only ask for the same comparisons. Near copies have nearly all their entries in
+    common, so what follows grows with the sets of texts that meet, not with their entries.
+    """
+    once = walked.groupBy("sig", "leader", "leader_need", "keys", "needs").agg(F.count(F.lit(1)).alias("times"))
+    first = lambda column, values: F.coalesce(column, F.element_at(values, 1)).alias(column)
+    return once.select(
+        F.coalesce("sig", F.xxhash64("keys", "needs")).alias("sig"), first("leader", "keys"), first("leader_need", "needs"),
+        "times", F.explode(F.arrays_zip("keys", "needs")).alias("member"),
+    ).select("sig", F.col("member.keys").alias("key"), F.col("member.needs").alias("need"), "leader", "leader_need", "times")
 
 
 def _most_shared(a: bytes, b: bytes) -> int | None:
@@ -323,10 +360,15 @@ def _most_shared(a: bytes, b: bytes) -> int | None:
     return int(np.minimum(x, y).sum())
 
 
+def _alike(one: str, other: str, percent: int) -> Column:
+    """Whether the sizes of two sets allow a link."""
+    return F.least(one, other) * 100 >= F.greatest(one, other) * percent
+
+
 def _possible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that their sizes and sketches allow to link; no link is lost."""
     both = pairs.join(sketches.toDF("a", "size_a", "x"), "a").join(sketches.toDF("b", "size_b", "y"), "b").where(
-        F.least("size_a", "size_b") * 100 >= F.greatest("size_a", "size_b") * percent)
+        _alike("size_a", "size_b", percent))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -351,6 +393,26 @@ def _sets(raw: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(member), np.concatenate(doc)
 
 
+def _among(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows whose key may be among ``wanted`` (key): a bitmap of ``BITMAP`` hashes sorts most others out.
+
+    So what is not asked for stays out of the shuffle; with very many keys asked for, more passes.
+    """
+    bit = F.pmod(F.xxhash64("key"), F.lit(BITMAP))
+    pages = wanted.select(bit.alias("bit")).groupBy((F.shiftright("bit", 15)).alias("page")).agg(
+        F.bitmap_construct_agg(F.col("bit").bitwiseAND(32767)).alias("bits")).collect()
+    bitmap = np.zeros(BITMAP // 8, np.uint8)
+    for page, bits in pages:
+        bitmap[page << 12:(page + 1) << 12] = np.frombuffer(bits, np.uint8)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = np.asarray(batch.column("bit"))
+            yield batch.filter(pa.array((bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1)).select(["key", "text"])
+
+    return rows.select("key", "text", bit.alias("bit")).mapInArrow(run, "key long, text string")
+
+
 def _byte_slices(column: pa.Array, budget: int) -> Iterator[tuple[int, int]]:
     """Ranges of a column of compressed texts, of about ``budget`` bytes."""
     return slices(np.concatenate([[0], np.cumsum(np.asarray(pc.fill_null(pc.binary_length(column), 0)))]), budget)
@@ -382,6 +444,22 @@ def _linked(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFra
     return both.mapInArrow(run, "a long, b long")
 
 
+def _united(crowded: DataFrame) -> DataFrame:
+    """``crowded`` (sig, key, key_c, n) with overlapping entries as one, so that their pairs are compared once.
+
+    Entries with the same leading component (most members, then smallest) are united where the
+    square of the union is no more than the sum of their squares.
+    """
+    most = crowded.groupBy("sig", "key_c").agg(F.count(F.lit(1)).alias("m")).groupBy("sig").agg(
+        F.max(F.struct("m", (-F.col("key_c")).alias("c"))).alias("top")).select("sig", F.xxhash64("top.c").alias("lead"))
+    led = materialise(crowded.join(most, "sig"), "led")
+    union = led.groupBy("lead", "key", "key_c").agg(F.sum("n").alias("alone"))
+    costs = union.groupBy("lead").agg(F.count(F.lit(1)).alias("all"), F.sum("alone").alias("alone"))
+    worth = materialise(costs.where(F.col("all").cast("double") * F.col("all") <= F.col("alone")).select("lead", "all"), "united")
+    one = union.join(worth, "lead").select(F.col("lead").alias("sig"), "key", "key_c", F.col("all").alias("n"))
+    return one.union(led.join(worth, "lead", "left_anti").select("sig", "key", "key_c", "n"))
+
+
 def _chunks(crowded: DataFrame) -> DataFrame:
     """(sig, key, key_c, low, high): the members of an entry in each pair of its chunks of about BLOCK members."""
     chunks = F.ceil(F.col("n") / BLOCK).cast("int")
@@ -483,15 +561,17 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = N
 
     blocks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     entries = _index_entries(known, frequent_members(known, n), n, percent)
-    shared = materialise(_shared(entries.repartition(blocks, "sig").sortWithinPartitions("sig", "key")), "shared")
+    walked = _walked(entries.repartition(blocks, "sig").sortWithinPartitions("sig", "key"))
     sketches = described.where("key is not null").groupBy("key").agg(
         F.max(F.struct("size", "sketch")).alias("s")).select("key", "s.size", "s.sketch")
     sketches = materialise(sketches, "sketches")
+    sizes = sketches.select("key", "size")
+    shared = materialise(_shared(walked).join(sizes, "key"), "shared")
 
     def texts_of(keys: DataFrame) -> DataFrame:
-        """The texts of some keys; all others stay behind in one shuffle."""
-        wanted = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).select("key")
-        return materialise(pack_texts(known).join(wanted, "key", "left_semi"), "texts")
+        """The texts of some keys."""
+        wanted = materialise(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).select("key"), "wanted")
+        return materialise(pack_texts(_among(known, wanted)).join(wanted, "key", "left_semi"), "texts")
 
     def ends(pairs: DataFrame) -> DataFrame:
         return pairs.select(F.explode(F.array("a", "b")).alias("key"))
@@ -506,7 +586,8 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = N
     # The pairs of a key and a leader it meets that may link.
     least_need = F.min(F.least(F.abs("need"), F.abs("leader_need"))).alias("need")
     met = shared.where("key <> leader").groupBy(F.col("leader").alias("a"), F.col("key").alias("b")).agg(
-        F.count(F.lit(1)).alias("n"), least_need).where("n >= need")
+        F.sum("times").alias("n"), least_need, F.max("size").alias("size_b")).where("n >= need")
+    met = met.join(sizes.toDF("a", "size_a"), "a").where(_alike("size_a", "size_b", percent))
     met = materialise(_possible(met.select("a", "b"), sketches, percent), "met")
     texts = texts_of(ends(met))
 
@@ -521,7 +602,7 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = N
     found = components(links)
 
     # Last: every two members of an entry that aren't tied; entries of many components in blocks.
-    members = with_component(shared.select("sig", "key", "need"), found, "key")
+    members = with_component(shared.select("sig", "key", "need", "size", "times"), found, "key")
     # Own members are those whose entry isn't there for counting alone.
     own = F.col("need") > 0
     ties = members.groupBy("sig", "key_c").agg(
@@ -533,24 +614,24 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = N
     members = materialise(members.join(several.select("sig", "parts", "own_parts", "n"), "sig"), "loose")
     in_crowds = members.where(F.col("parts") > CROWD)
     # Entries of few components give pairs, which are counted; what a key has in crowds may be missing.
-    uncounted = in_crowds.groupBy("key").agg(F.count(F.lit(1)).alias("uncounted"))
+    uncounted = in_crowds.groupBy("key").agg(F.sum("times").alias("uncounted"))
     few = members.where(F.col("parts") <= CROWD).join(uncounted, "key", "left").withColumn(
         "need", F.greatest(F.lit(1), F.abs("need") - F.coalesce("uncounted", F.lit(0))))
     # Two components of an entry meet, and only members of different ones are paired.
-    parts = few.groupBy("sig", "key_c").agg(F.count(F.lit(1)).alias("_")).select("sig", "key_c")
-    meet = parts.toDF("sig", "a_c").join(parts.toDF("sig", "b_c"), "sig").where("a_c < b_c")
+    parts = few.groupBy("sig", "key_c").agg(F.max("times").alias("times"))
+    meet = parts.toDF("sig", "a_c", "times").join(parts.toDF("sig", "b_c", "_").drop("_"), "sig").where("a_c < b_c")
     side = lambda name: few.select("sig", F.col("key_c").alias(f"{name}_c"), F.col("key").alias(name),
-                                   F.col("need").alias(f"{name}_need"))
-    pairs = (meet.join(side("a"), ["sig", "a_c"]).join(side("b"), ["sig", "b_c"])
+                                   F.col("need").alias(f"{name}_need"), F.col("size").alias(f"{name}_size"))
+    pairs = (meet.join(side("a"), ["sig", "a_c"]).join(side("b"), ["sig", "b_c"]).where(_alike("a_size", "b_size", percent))
              .groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-             .agg(F.count(F.lit(1)).alias("n"), F.min(F.least("a_need", "b_need")).alias("need"))
+             .agg(F.sum("times").alias("n"), F.min(F.least("a_need", "b_need")).alias("need"))
              .where("n >= need").select("a", "b"))
     pairs = materialise(_possible(pairs, sketches, percent), "pairs")
     # Of entries of many components the own members are compared; the same members once.
     crowds = several.where((F.col("parts") > CROWD) & (F.col("own_parts") > 1)).groupBy("n", "keys").agg(
         F.min("sig").alias("sig")).select("sig")
     crowded = in_crowds.where(own).join(crowds, "sig", "left_semi").select("sig", "key", "key_c", "n")
-    chunks = materialise(_chunks(crowded), "chunks")
+    chunks = materialise(_chunks(_united(crowded)), "chunks")
     sketched = materialise(_sketched(chunks, sketches, percent), "sketched")
     dense = chunks.join(sketched.where("a is null").select("sig", "low", "high"), ["sig", "low", "high"], "left_semi")
     pairs = pairs.union(sketched.where("a is not null").groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).select("a", "b"))
