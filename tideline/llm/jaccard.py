@@ -39,6 +39,7 @@ read, so their names may clash.
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,7 +49,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tideline.llm.components import components, labels
 from tideline.llm.flat import grams, mix, slices, string_column, text_buffers, words
-from tideline.llm.packed import pack_texts, unpack
+from tideline.llm.packed import packed, unpack
 from tideline.session import materialise
 
 N = 5
@@ -63,6 +64,7 @@ CROWD = 16  # entries of more components are compared in blocks
 BLOCK = 768
 PAIRS_EACH = 4  # possible pairs for each member of a chunk pair, above which its texts are compared all together
 TOKENS_AT_ONCE = 8192
+ROWS_A_FILE = 1 << 14  # documents for each task that writes a derived table, if there are more than cores
 BITMAP = 1 << 25  # hashes of keys, of which a bit each is sent to every task
 _U = np.uint64
 
@@ -138,6 +140,19 @@ def describe(rows: DataFrame, n: int = N) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
+def _often(parts: list[np.ndarray], least: int) -> tuple[np.ndarray, np.ndarray]:
+    """(value, count) of the values that occur ``least`` times or more in ``parts``, which are emptied.
+
+    Sorted in place: next to the values themselves only a bit each is held.
+    """
+    values = np.concatenate(parts)
+    parts.clear()
+    values.sort()
+    last = len(values) - least + 1
+    found = np.unique(values[:max(last, 0)][values[least - 1:] == values[:max(last, 0)]])
+    return found, np.searchsorted(values, found, side="right") - np.searchsorted(values, found)
+
+
 def frequent_members(rows: DataFrame, n: int = N) -> np.ndarray:
     """Members of at least one document in FREQUENT, sorted; counted over all texts.
 
@@ -157,10 +172,9 @@ def frequent_members(rows: DataFrame, n: int = N) -> np.ndarray:
                     seen.add(h)
                 found.append(member[np.array(fresh, bool)[doc]])
             if found:
-                member, count = np.unique(np.concatenate(found), return_counts=True)
-                often = count >= max(4, batch.num_rows // (2 * FREQUENT))
+                member, count = _often(found, max(4, batch.num_rows // (2 * FREQUENT)))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(member[often].view(np.int64)), pa.array(count[often], pa.int64())], ["member", "n"])
+                    [pa.array(member.view(np.int64)), pa.array(count, pa.int64())], ["member", "n"])
 
     least = rows.count() / FREQUENT
     counts = rows.mapInArrow(run, "member long, n long").groupBy("member").agg(F.sum("n").alias("n"))
@@ -393,10 +407,11 @@ def _sets(raw: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(member), np.concatenate(doc)
 
 
-def _among(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+def _among(rows: DataFrame, wanted: DataFrame, pack: bool = False) -> DataFrame:
     """The rows whose key may be among ``wanted`` (key): a bitmap of ``BITMAP`` hashes sorts most others out.
 
     So what is not asked for stays out of the shuffle; with very many keys asked for, more passes.
+    With ``pack`` the texts are compressed in the same step, which takes one Python worker a task, not two.
     """
     bit = F.pmod(F.xxhash64("key"), F.lit(BITMAP))
     pages = wanted.select(bit.alias("bit")).groupBy((F.shiftright("bit", 15)).alias("page")).agg(
@@ -408,9 +423,10 @@ def _among(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = np.asarray(batch.column("bit"))
-            yield batch.filter(pa.array((bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1)).select(["key", "text"])
+            found = batch.filter(pa.array((bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1)).select(["key", "text"])
+            yield pa.RecordBatch.from_arrays([found.column(0), packed(found.column(1))], ["key", "packed"]) if pack else found
 
-    return rows.select("key", "text", bit.alias("bit")).mapInArrow(run, "key long, text string")
+    return rows.select("key", "text", bit.alias("bit")).mapInArrow(run, f"key long, {'packed binary' if pack else 'text string'}")
 
 
 def _byte_slices(column: pa.Array, budget: int) -> Iterator[tuple[int, int]]:
@@ -444,7 +460,7 @@ def _linked(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFra
     return both.mapInArrow(run, "a long, b long")
 
 
-def _united(crowded: DataFrame) -> DataFrame:
+def _united(crowded: DataFrame, files: int | None = None) -> DataFrame:
     """``crowded`` (sig, key, key_c, n) with overlapping entries as one, so that their pairs are compared once.
 
     Entries with the same leading component (most members, then smallest) are united where the
@@ -452,10 +468,10 @@ def _united(crowded: DataFrame) -> DataFrame:
     """
     most = crowded.groupBy("sig", "key_c").agg(F.count(F.lit(1)).alias("m")).groupBy("sig").agg(
         F.max(F.struct("m", (-F.col("key_c")).alias("c"))).alias("top")).select("sig", F.xxhash64("top.c").alias("lead"))
-    led = materialise(crowded.join(most, "sig"), "led")
+    led = materialise(crowded.join(most, "sig"), "led", files)
     union = led.groupBy("lead", "key", "key_c").agg(F.sum("n").alias("alone"))
     costs = union.groupBy("lead").agg(F.count(F.lit(1)).alias("all"), F.sum("alone").alias("alone"))
-    worth = materialise(costs.where(F.col("all").cast("double") * F.col("all") <= F.col("alone")).select("lead", "all"), "united")
+    worth = materialise(costs.where(F.col("all").cast("double") * F.col("all") <= F.col("alone")).select("lead", "all"), "united", files)
     one = union.join(worth, "lead").select(F.col("lead").alias("sig"), "key", "key_c", F.col("all").alias("n"))
     return one.union(led.join(worth, "lead", "left_anti").select("sig", "key", "key_c", "n"))
 
@@ -554,30 +570,36 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = N
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     known = rows.where("key is not null")
     described = materialise(describe(rows, n), "sets")
+    parallelism = docs.sparkSession.sparkContext.defaultParallelism
+    files = max(parallelism, math.ceil(described.count() / ROWS_A_FILE))
+
+    def written(df: DataFrame, purpose: str) -> DataFrame:
+        return materialise(df, purpose, files)
+
     classes = described.where("size > 0 and key is not null").groupBy("size", "h1", "h2").agg(
         F.min("key").alias("first"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
-    equal = (described.where("key is not null").join(classes, ["size", "h1", "h2"]).where("key <> first")
-             .select(F.col("first").alias("a"), F.col("key").alias("b")))
+    equal = written(described.where("key is not null").join(classes, ["size", "h1", "h2"]).where("key <> first")
+                    .select(F.col("first").alias("a"), F.col("key").alias("b")), "equal")
 
     blocks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     entries = _index_entries(known, frequent_members(known, n), n, percent)
     walked = _walked(entries.repartition(blocks, "sig").sortWithinPartitions("sig", "key"))
     sketches = described.where("key is not null").groupBy("key").agg(
         F.max(F.struct("size", "sketch")).alias("s")).select("key", "s.size", "s.sketch")
-    sketches = materialise(sketches, "sketches")
+    sketches = written(sketches, "sketches")
     sizes = sketches.select("key", "size")
-    shared = materialise(_shared(walked).join(sizes, "key"), "shared")
+    shared = written(_shared(walked).join(sizes, "key"), "shared")
 
     def texts_of(keys: DataFrame) -> DataFrame:
         """The texts of some keys."""
-        wanted = materialise(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).select("key"), "wanted")
-        return materialise(pack_texts(_among(known, wanted)).join(wanted, "key", "left_semi"), "texts")
+        wanted = written(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).select("key"), "wanted")
+        return written(_among(known, wanted, pack=True).join(wanted, "key", "left_semi"), "texts")
 
     def ends(pairs: DataFrame) -> DataFrame:
         return pairs.select(F.explode(F.array("a", "b")).alias("key"))
 
     def linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-        return materialise(_linked(pairs, texts, n, percent), "links")
+        return written(_linked(pairs, texts, n, percent), "links")
 
     def with_component(df: DataFrame, found: DataFrame, name: str) -> DataFrame:
         tied = df.join(found.toDF(name, f"{name}_c"), name, "left")
@@ -588,7 +610,7 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = N
     met = shared.where("key <> leader").groupBy(F.col("leader").alias("a"), F.col("key").alias("b")).agg(
         F.sum("times").alias("n"), least_need, F.max("size").alias("size_b")).where("n >= need")
     met = met.join(sizes.toDF("a", "size_a"), "a").where(_alike("size_a", "size_b", percent))
-    met = materialise(_possible(met.select("a", "b"), sketches, percent), "met")
+    met = written(_possible(met.select("a", "b"), sketches, percent), "met")
     texts = texts_of(ends(met))
 
     # First: every key with the smallest of these leaders.
@@ -610,8 +632,8 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = N
     several = ties.groupBy("sig").agg(
         F.count(F.lit(1)).alias("parts"), F.count_if(F.col("own") > 0).alias("own_parts"), F.sum("own").alias("n"),
         F.bit_xor("keys").alias("keys")).where("parts > 1")
-    several = materialise(several, "several")
-    members = materialise(members.join(several.select("sig", "parts", "own_parts", "n"), "sig"), "loose")
+    several = written(several, "several")
+    members = written(members.join(several.select("sig", "parts", "own_parts", "n"), "sig"), "loose")
     in_crowds = members.where(F.col("parts") > CROWD)
     # Entries of few components give pairs, which are counted; what a key has in crowds may be missing.
     uncounted = in_crowds.groupBy("key").agg(F.sum("times").alias("uncounted"))
@@ -626,18 +648,18 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = N
              .groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
              .agg(F.sum("times").alias("n"), F.min(F.least("a_need", "b_need")).alias("need"))
              .where("n >= need").select("a", "b"))
-    pairs = materialise(_possible(pairs, sketches, percent), "pairs")
+    pairs = written(_possible(pairs, sketches, percent), "pairs")
     # Of entries of many components the own members are compared; the same members once.
     crowds = several.where((F.col("parts") > CROWD) & (F.col("own_parts") > 1)).groupBy("n", "keys").agg(
         F.min("sig").alias("sig")).select("sig")
     crowded = in_crowds.where(own).join(crowds, "sig", "left_semi").select("sig", "key", "key_c", "n")
-    chunks = materialise(_chunks(_united(crowded)), "chunks")
-    sketched = materialise(_sketched(chunks, sketches, percent), "sketched")
+    chunks = written(_chunks(_united(crowded, files)), "chunks")
+    sketched = written(_sketched(chunks, sketches, percent), "sketched")
     dense = chunks.join(sketched.where("a is null").select("sig", "low", "high"), ["sig", "low", "high"], "left_semi")
     pairs = pairs.union(sketched.where("a is not null").groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).select("a", "b"))
     texts = texts_of(ends(pairs).union(dense.select("key")))
     links = links.union(linked(pairs, texts)).union(
-        materialise(_in_blocks(dense, texts, n, percent), "links"))
+        written(_in_blocks(dense, texts, n, percent), "links"))
     found = components(links).toDF("id", "component")
     return described.join(found, F.col("key") == F.col("id"), "left").select(
         F.col("key").alias(key), F.col("size").alias("n_shingles"),

@@ -9,6 +9,12 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F, types as T
 
 
+def packed(texts: pa.Array) -> pa.Array:
+    """Texts compressed one by one; a null stays null."""
+    press = zstandard.ZstdCompressor(level=1).compress
+    return pa.array([None if t is None else press(t) for t in texts.cast(pa.large_binary()).to_pylist()], pa.binary())
+
+
 def pack_texts(rows: DataFrame) -> DataFrame:
     """``rows`` (key, text, any others) as (key, packed, others): texts compressed one by one; a null stays null."""
     others = [f for f in rows.schema.fields if f.name not in ("key", "text")]
@@ -16,11 +22,8 @@ def pack_texts(rows: DataFrame) -> DataFrame:
     schema = T.StructType([rows.schema["key"], T.StructField("packed", T.BinaryType()), *others])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        press = zstandard.ZstdCompressor(level=1).compress
         for batch in batches:
-            packed = [None if t is None else press(t) for t in batch.column(1).cast(pa.large_binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(packed, pa.binary()), *batch.columns[2:]], schema.names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), packed(batch.column(1)), *batch.columns[2:]], schema.names)
 
     return rows.mapInArrow(run, schema)
 

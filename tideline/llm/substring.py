@@ -277,9 +277,10 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
     asked = found.where("ref_key is null").groupBy("key").agg(
         F.collect_list(F.struct("start", "windows", "anchor")).alias("asked"))
     texts = pack_texts(rows.where("key is not null"))
-    single = _match(in_blocks(_windows_asked(texts.join(asked, "key"), window)))
+    # Merge joins keep the two steps in Python of either side apart: a task then occupies one worker, not two.
+    single = _match(in_blocks(_windows_asked(texts.join(asked.hint("merge"), "key"), window)))
     matches = found.union(single).where("ref_key is not null").groupBy("key").agg(
         F.collect_list(F.struct("start", "windows", "ref_key", "ref_start")).alias("spans"))
-    done = _removed(pack_texts(whole).join(matches, "key", "left"), window, untouched)
+    done = _removed(pack_texts(whole).join(matches.hint("merge"), "key", "left"), window, untouched)
     return done.select(F.col("key").alias(key), "n_words", "n_removed", "kept", "factors",
                        *[F.col(f"c{i}").alias(name) for i, name in enumerate(carry)])
