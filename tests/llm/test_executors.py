@@ -1,9 +1,11 @@
 """What the text operators leave on an executor: files of derived tables, workers, memory."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import types as T
 
-from tideline.llm import components as components_module, jaccard, substring
+from tideline.llm import components as components_module, flat, jaccard, langid, quality, substring
 from tideline.llm.components import components
 from tideline.llm.packed import unpack
 from tideline.session import materialise
@@ -77,3 +79,23 @@ def test_a_task_has_one_step_in_python(spark, documents, prose, monkeypatch):
     found = substring.remove_repeats(documents(prose))
     found.collect()
     assert max(python_steps(found).values()) == 1
+
+
+@pytest.mark.parametrize("operator", ["language", "quality"])
+def test_texts_are_handed_on_in_parts(operator):
+    """A step that adds columns to texts holds a part of a batch of them, not all with what it made of them."""
+    class Rows:
+        schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())])
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    texts = [None, "", *[f"some words of text {i} " * 200 for i in range(500)], None]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})
+    if operator == "language":
+        run = langid.identify(Rows(), langid.ContextTrees({"en": ["some words of text"], "xx": ["zzz qqq"]}))
+    else:
+        run = quality.classify(Rows(), quality.AdditiveModel(np.zeros((0, len(quality.FEATURES))), np.zeros(0, np.int64)))
+    parts = list(run(iter([batch])))
+    assert max(p.num_rows for p in parts) * 4000 < 2 * flat.PART_BYTES
+    assert pa.Table.from_batches(parts).select(["doc_id", "text"]).to_pydict() == batch.to_pydict()

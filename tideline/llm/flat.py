@@ -16,6 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 1 << 20
+PART_BYTES = 1 << 18  # of texts that pass through a step in Python: what is handed on at once
 _U = np.uint64
 
 _IS_WORD = np.ones(256, dtype=bool)

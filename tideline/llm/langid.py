@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from tideline.llm.flat import slices, string_column
+from tideline.llm.flat import PART_BYTES, slices, string_column
 from tideline.session import materialise
 
 ORDER = 3
@@ -157,20 +157,16 @@ def identify(docs: DataFrame, trees: ContextTrees, text: str = "text") -> DataFr
         names = np.array([*trees.languages, UNKNOWN], dtype=object)
         for batch in batches:
             data, offsets = string_column(batch, text)
-            best, score, rate = [], [], []
-            for i, j in slices(offsets):
+            columns = [batch.column(batch.schema.get_field_index(f.name)) for f in fields]
+            for i, j in slices(offsets, PART_BYTES):
                 bits, letters, size = trees.score(data, offsets[i:j + 1])
                 known = letters & bool(trees.languages)
                 at = bits.argmin(axis=1) if trees.languages else np.zeros(j - i, np.int64)
                 least = bits.min(axis=1) if trees.languages else np.zeros(j - i)
                 share = 1 / np.exp2(np.maximum(least[:, None] - bits, -1000)).sum(axis=1).clip(1)
-                best.append(np.where(known, at, len(names) - 1))
-                score.append(np.where(known, share, 0.0))
-                rate.append(np.where(known, least / np.maximum(size, 1), 0.0))
-            flat = lambda parts, kind: np.concatenate([np.zeros(0, kind), *parts])
-            values = [pa.array(names[flat(best, np.int64)], pa.string()), pa.array(flat(score, np.float64)),
-                      pa.array(flat(rate, np.float64))]
-            columns = [batch.column(batch.schema.get_field_index(f.name)) for f in fields]
-            yield pa.RecordBatch.from_arrays(columns + values, schema.names)
+                best = np.where(known, at, len(names) - 1)
+                values = [pa.array(names[best], pa.string()), pa.array(np.where(known, share, 0.0)),
+                          pa.array(np.where(known, least / np.maximum(size, 1), 0.0))]
+                yield pa.RecordBatch.from_arrays([c.slice(i, j - i) for c in columns] + values, schema.names)
 
     return docs.mapInArrow(run, schema)

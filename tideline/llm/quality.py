@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tideline.llm.flat import Words, mix, slices, string_column, words
+from tideline.llm.flat import PART_BYTES, Words, mix, slices, string_column, words
 from tideline.llm.langid import held_out
 
 SAMPLE_ROWS = 6000
@@ -213,7 +213,7 @@ class AdditiveModel:
 
 def _features_of(batch: pa.RecordBatch, text: str) -> np.ndarray:
     data, offsets = string_column(batch, text)
-    parts = [features(data, offsets[i:j + 1]) for i, j in slices(offsets)]
+    parts = [features(data, offsets[i:j + 1]) for i, j in slices(offsets, PART_BYTES)]
     return np.concatenate([np.zeros((0, len(FEATURES))), *parts])
 
 
@@ -250,9 +250,12 @@ def classify(docs: DataFrame, model: AdditiveModel, text: str = "text", threshol
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            score = model.score(_features_of(batch, text))
+            data, offsets = string_column(batch, text)
             columns = [batch.column(batch.schema.get_field_index(f.name)) for f in fields]
-            yield pa.RecordBatch.from_arrays(
-                columns + [pa.array(score), pa.array((score >= threshold).astype(np.int32))], schema.names)
+            for i, j in slices(offsets, PART_BYTES):
+                score = model.score(features(data, offsets[i:j + 1]))
+                yield pa.RecordBatch.from_arrays(
+                    [c.slice(i, j - i) for c in columns]
+                    + [pa.array(score), pa.array((score >= threshold).astype(np.int32))], schema.names)
 
     return docs.mapInArrow(run, schema)
